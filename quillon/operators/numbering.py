@@ -56,7 +56,7 @@ def initial_index(sentences: DataFrame, page_size: int = 1000) -> DataFrame:
         sentences.select(F.explode("lemmas").alias("lemma"))
         .where(F.col("lemma").rlike(r"^\p{L}"))
         .distinct()
-        .withColumn("initial", F.upper(F.substring("lemma", 1, 1)))
+        .withColumn("initial", F.substring(F.upper("lemma"), 1, 1))
     )
     placed = numbered(words, [F.col("initial"), F.col("lemma")], "id")
     first = placed.groupBy("initial").agg(F.min("id").alias("first"))
