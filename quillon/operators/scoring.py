@@ -27,9 +27,17 @@ BIGRAM_BOOST = 1.3
 TOPIC_BOOST = 1.25
 NO_TOPIC = -1
 
-# Scores are compared to this many decimals, so that ranks do not depend on the
-# order in which a cluster happens to add up the terms.
+# Ranks must not depend on the order in which a cluster happens to add up the terms.
+# Scores are therefore compared rounded: to DECIMALS below EXACT_BELOW, and to 24
+# significant bits above, where repeated bigrams make a score of any magnitude.
 DECIMALS = 6
+EXACT_BELOW = 1e6
+_SPLIT = float(2**29 + 1)
+_SPLIT_BELOW = 1e290
+
+# Question-element pairs that one task adds up; more would not fit in its memory.
+PAIRS_PER_TASK = 2_000_000
+MAX_TASKS = 100_000
 
 # Feature kinds. SIZE is a single feature that counts the sentences of a document.
 TERM, BIGRAM, SIZE = 0, 1, 2
@@ -148,6 +156,17 @@ def document_count(matches: DataFrame) -> Column:
     return matches.where(F.col("kind") == SIZE).agg(F.count("*").alias("m")).scalar()
 
 
+def scoring_tasks(features: DataFrame, weights: DataFrame) -> int:
+    """Into how many tasks the scoring should be cut.
+
+    The pairs to add up are known exactly before they are built: each question feature
+    meets as many elements as its document frequency says.
+    """
+    pairs = features.join(weights.select(*FEATURE, "df"), FEATURE).agg(F.sum("df")).first()[0]
+    least = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(least, -(-(pairs or 0) // PAIRS_PER_TASK)), max(least, MAX_TASKS))
+
+
 def score(
     features: DataFrame,
     matches: DataFrame,
@@ -155,6 +174,7 @@ def score(
     size: Column,
     keys: list[str],
     small: bool,
+    tasks: int,
     use_bigrams: bool = True,
     within: DataFrame | None = None,
 ) -> DataFrame:
@@ -170,7 +190,7 @@ def score(
         "q_id", *FEATURE, "nq", idf.alias("idf")
     )
     carried = [c for c in ("topic",) if c in matches.columns]
-    located = matches.where(F.col("kind") != SIZE).repartition(*keys)
+    located = matches.where(F.col("kind") != SIZE).repartition(tasks, *keys)
     pairs = lookup_join(
         located, asked, FEATURE, "inner", [F.col(k) for k in keys], small=small
     )
@@ -192,7 +212,16 @@ def score(
 
 
 def rounded(scored: DataFrame) -> DataFrame:
-    return scored.withColumn("score", F.round("score", DECIMALS))
+    """``score`` as it is compared and shown (see ``DECIMALS``)."""
+    value = F.col("score")
+    # Multiplying by 2^29 + 1 and taking the excess away again drops the low 29 bits.
+    coarse = value * _SPLIT - (value * _SPLIT - value)
+    return scored.withColumn(
+        "score",
+        F.when(value < EXACT_BELOW, F.round(value, DECIMALS))
+        .when(value < _SPLIT_BELOW, coarse)
+        .otherwise(value),
+    )
 
 
 def boost_topics(

@@ -91,13 +91,14 @@ def _topic_terms(topic_words: DataFrame) -> DataFrame:
     return topic_words.select(F.col("term").alias("key"), "topic")
 
 
-def topics_of_matches(matches: DataFrame, topic_words: DataFrame, keys: list[str]) -> DataFrame:
+def topics_of_matches(
+    matches: DataFrame, topic_words: DataFrame, keys: list[str], tasks: int
+) -> DataFrame:
     """``keys, topic`` of the elements that use a topic word.
 
-    The shuffle on ``keys`` is the one that ``scoring.score`` makes, so joining
-    topics to scores adds none.
+    Partitioned like the result of ``scoring.score``, so joining the two adds no shuffle.
     """
-    terms = matches.where(F.col("kind") == TERM).repartition(*keys)
+    terms = matches.where(F.col("kind") == TERM).repartition(tasks, *keys)
     hits = lookup_join(
         terms, _topic_terms(topic_words), ["key"], "inner", [F.col(k) for k in keys]
     )

@@ -7,6 +7,7 @@ features the questions ask for, once to fetch the winning sentences.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,10 @@ class Search:
     size: Column  # number of sentences
     small: bool
 
+    @cached_property
+    def tasks(self) -> int:
+        return scoring.scoring_tasks(self.features, self.weights)
+
     @classmethod
     def over_sentences(
         cls,
@@ -62,6 +67,7 @@ class Search:
             self.size,
             SENTENCE,
             self.small,
+            self.tasks,
             use_bigrams,
             within,
         )
@@ -72,13 +78,15 @@ class Search:
         A document has no bigrams of its own, so only terms count.
         """
         per_document = self.matches.groupBy("doc_id", *scoring.FEATURE).agg(F.sum("n").alias("n"))
+        weights = scoring.feature_weights(per_document)
         return scoring.score(
             self.features,
             per_document,
-            scoring.feature_weights(per_document),
+            weights,
             scoring.document_count(self.matches),
             DOCUMENT,
             self.small,
+            self.tasks,
             use_bigrams=False,
         )
 
@@ -88,7 +96,7 @@ class Search:
         found = (
             None
             if stored_topics
-            else topics.topics_of_matches(self.matches, topic_words, SENTENCE)
+            else topics.topics_of_matches(self.matches, topic_words, SENTENCE, self.tasks)
         )
         return scoring.boost_topics(self.scores(), asked, found)
 
