@@ -36,7 +36,7 @@ _SPLIT = float(2**29 + 1)
 _SPLIT_BELOW = 1e290
 
 # Question-element pairs that one task adds up; more would not fit in its memory.
-PAIRS_PER_TASK = 2_000_000
+PAIRS_PER_TASK = 1_000_000
 MAX_TASKS = 100_000
 
 # Feature kinds. SIZE is a single feature that counts the sentences of a document.

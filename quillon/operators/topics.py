@@ -110,17 +110,16 @@ def assign_topics(
 ) -> DataFrame:
     """``keys, topic`` for every row of ``annotated``; -1 where no topic word occurs.
 
-    Per topic the lemmas found among its words are counted, with repeats.
+    Per topic the lemmas found among its words are counted, with repeats. Each row
+    also brings the empty word, which stands for "no topic" with no hits, so rows
+    without a topic word stay in without a second pass over the text.
     """
-    lemmas = annotated.select(*keys, F.explode("lemmas").alias("key")).withColumn(
-        "n", F.expr("1L")
-    )
+    words = _topic_terms(topic_words)
+    empty = words.sparkSession.range(1).select(F.lit("").alias("key"), F.lit(NO_TOPIC).alias("topic"))
+    lemmas = annotated.select(
+        *keys, F.explode(F.concat("lemmas", F.array(F.lit("")))).alias("key")
+    ).withColumn("n", F.when(F.col("key") == "", 0).otherwise(1))
     hits = lookup_join(
-        lemmas, _topic_terms(topic_words), ["key"], "inner", [F.col(k) for k in keys]
-    )
-    best = _best_topic(hits, keys)
-    return (
-        annotated.select(*keys)
-        .join(best, keys, "left")
-        .withColumn("topic", F.coalesce("topic", F.lit(NO_TOPIC)))
+        lemmas, words.unionByName(empty), ["key"], "inner", [F.col(k) for k in keys]
     )
+    return _best_topic(hits, keys)
