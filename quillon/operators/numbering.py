@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillon.session import settled
+from quillon.session import stored
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition number above these
 
@@ -14,14 +14,15 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Add ``name`` = 0, 1, 2, ... in the order of ``order`` (which must be total).
 
     Rows are range-partitioned and sorted in parallel; each partition then adds the
-    number of rows before it. The sorted rows are checkpointed, so the partition
-    borders cannot move between counting and numbering. Only the per-partition
+    number of rows before it. The sorted rows are written with their partition and
+    place, so the borders cannot move between counting and numbering. Only the per-partition
     counts (one row per partition) meet in one task or are broadcast.
     """
-    ordered = settled(
+    ordered = stored(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("place", F.monotonically_increasing_id())
+        .withColumn("place", F.monotonically_increasing_id()),
+        "ordered",
     )
     part = F.shiftright("place", _LOCAL_BITS)
     counts = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n"))

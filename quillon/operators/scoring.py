@@ -67,7 +67,10 @@ def expand_terms(terms: DataFrame, synonyms: DataFrame) -> DataFrame:
 
 
 def question_features(questions: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:
-    """``q_id, kind, key, nq`` of annotated questions."""
+    """``q_id, kind, key, nq`` of annotated questions, written once.
+
+    Nearly every later step reads them, and none should tokenize the questions again.
+    """
     terms = (
         target_terms(questions, synonyms)
         .groupBy("q_id", F.col("lemma").alias("key"))
@@ -77,7 +80,7 @@ def question_features(questions: DataFrame, synonyms: DataFrame | None = None) -
     pairs = bigrams(questions, ["q_id"]).select(
         "q_id", F.lit(BIGRAM).alias("kind"), F.col("bigram").alias("key"), F.col("n").alias("nq")
     )
-    return terms.unionByName(pairs).select("q_id", *FEATURE, "nq")
+    return stored(terms.unionByName(pairs).select("q_id", *FEATURE, "nq"), "asked")
 
 
 def _as_features(cells: Column, kind: int) -> Column:

@@ -13,7 +13,7 @@ from quillon.functions.arrays import counted
 from quillon.functions.tagging import lemma_array
 from quillon.functions.text import sentence_array, token_array
 from quillon.operators.joins import SALTS, is_small
-from quillon.session import settled
+from quillon.session import stored
 
 SENTENCE = ["doc_id", "sent_no"]
 DOCUMENT = ["doc_id"]
@@ -53,13 +53,14 @@ def idf(elements: DataFrame, lemmas: str = "lemmas") -> DataFrame:
 
     One pass over the corpus: each element also counts the empty string once, and
     as no token is empty, its frequency is the number of elements. The counts (one
-    row per lemma) are checkpointed because the plan reads them more than once.
+    row per lemma) are written because the plan reads them more than once.
     """
     marks = F.concat(F.array_distinct(lemmas), F.array(F.lit("")))
-    counts = settled(
+    counts = stored(
         elements.select(F.explode(marks).alias("lemma"))
         .groupBy("lemma")
-        .agg(F.count("*").alias("df"))
+        .agg(F.count("*").alias("df")),
+        "frequencies",
     )
     size = counts.where("lemma = ''").select("df").scalar()
     return counts.where("lemma <> ''").select(

@@ -46,11 +46,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once and cut from its lineage by a reliable checkpoint."""
-    spark = df.sparkSession
+def use_checkpoints(spark: SparkSession) -> None:
+    """Make the shared folder the one for checkpoints, if none is set yet."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once and cut from its lineage by a reliable checkpoint.
+
+    For small results that a plan reads more than once, such as topic words.
+    """
+    use_checkpoints(df.sparkSession)
     return df.checkpoint()
 
 
