@@ -31,7 +31,6 @@ from quillon.sources.tables import read_documents
 from quillon.streaming.questions import answer_stream, read_question_stream
 
 SENTENCE, DOCUMENT = tfidf.SENTENCE, tfidf.DOCUMENT
-TOKEN = [*SENTENCE, "pos_no"]
 # Question words, by item number.
 QUESTION_WORDS = ("who", "what", "when", "where", "why", "how")
 
@@ -47,8 +46,8 @@ def _sentences(spark: SparkSession, sf: str) -> DataFrame:
     return segment.annotate(_documents(spark, sf))
 
 
-def _tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return segment.explode_tokens(_sentences(spark, sf), SENTENCE)
+def _tokens(spark: SparkSession, sf: str, *fields: str) -> DataFrame:
+    return segment.explode_tokens(_sentences(spark, sf), SENTENCE, fields)
 
 
 def _questions(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,23 +144,23 @@ def sentences(spark, sf):
 
 
 def tokens(spark, sf):
-    return _tokens(spark, sf).select(*TOKEN, "tok")
+    return _tokens(spark, sf, "tok")
 
 
 def lemmas(spark, sf):
-    return _tokens(spark, sf).select(*TOKEN, "lemma")
+    return _tokens(spark, sf, "lemma")
 
 
 def pos_tags(spark, sf):
-    return _tokens(spark, sf).select(*TOKEN, "pos")
+    return _tokens(spark, sf, "pos")
 
 
 def entity_tags(spark, sf):
-    return _tokens(spark, sf).select(*TOKEN, "nec")
+    return _tokens(spark, sf, "nec")
 
 
 def content_tokens(spark, sf):
-    return segment.content_tokens(_tokens(spark, sf)).select(*TOKEN, "lemma", "pos")
+    return segment.content_tokens(_tokens(spark, sf, "lemma", "pos"))
 
 
 def bigrams(spark, sf):
@@ -177,7 +176,7 @@ def question_bigrams(spark, sf):
 
 
 def lemma_match(spark, sf):
-    asked = question_tokens(spark, sf).select("q_id", "pos_no", "lemma")
+    asked = segment.explode_tokens(_asked(spark, sf), ["q_id"], ("lemma",))
     return segment.lemma_matches(asked, _sentences(spark, sf)).select(
         "q_id", "pos_no", "lemma", "n_matches"
     )
@@ -259,13 +258,11 @@ def expanded_terms(spark, sf):
 
 
 def stopword_filter(spark, sf):
-    kept = topics.drop_stop_words(_tokens(spark, sf), _stop_words(spark))
-    return kept.select(*TOKEN, "lemma")
+    return topics.drop_stop_words(_tokens(spark, sf, "lemma"), _stop_words(spark))
 
 
 def topic_tokens(spark, sf):
-    kept = topics.topic_tokens(_tokens(spark, sf), _stop_words(spark))
-    return kept.select(*TOKEN, "lemma")
+    return topics.topic_tokens(_tokens(spark, sf, "lemma"), _stop_words(spark))
 
 
 def vocabulary(spark, sf):

@@ -53,7 +53,7 @@ def answer_digest(questions: DataFrame, answers: DataFrame) -> DataFrame:
     joined = answers.groupBy("q_id").agg(
         F.array_join(
             F.transform(
-                F.array_sort(F.collect_list(F.struct("rank", "answer"))), lambda a: a["answer"]
+                F.sort_array(F.collect_list(F.struct("rank", "answer"))), lambda a: a["answer"]
             ),
             DIGEST_SEPARATOR,
         ).alias("digest")

@@ -65,5 +65,5 @@ def initial_index(sentences: DataFrame, page_size: int = 1000) -> DataFrame:
         placed.join(first, "initial")
         .withColumn("page", F.floor((F.col("id") - F.col("first")) / page_size))
         .groupBy("initial", "page")
-        .agg(F.array_sort(F.collect_list("lemma")).alias("lemmas"))
+        .agg(F.sort_array(F.collect_list("lemma")).alias("lemmas"))
     )

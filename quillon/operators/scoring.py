@@ -50,9 +50,8 @@ def target_terms(questions: DataFrame, synonyms: DataFrame | None = None) -> Dat
     ``questions`` are annotated. With ``synonyms(term, synonym)`` each term is followed
     by its synonyms, which inherit its tag and entity class.
     """
-    terms = content_tokens(explode_tokens(questions, ["q_id"])).select(
-        "q_id", "lemma", "pos", "nec"
-    )
+    tokens = explode_tokens(questions, ["q_id"], ("lemma", "pos", "nec"))
+    terms = content_tokens(tokens).drop("pos_no")
     return terms if synonyms is None else expand_terms(terms, synonyms)
 
 

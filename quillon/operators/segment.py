@@ -41,11 +41,17 @@ def split_sentences(documents: DataFrame, carry: tuple[str, ...] = ()) -> DataFr
 
     ``carry`` names further document columns to repeat on each sentence.
     """
+    # The outer form keeps Spark from testing for an empty array below the scan, which
+    # would split every text a second time; the null test takes its place.
     return (
         documents.select("doc_id", *carry, sentence_array(F.col("text")).alias("parts"))
         .select(
-            "doc_id", *carry, F.size("parts").alias("n"), F.posexplode("parts").alias("i", "part")
+            "doc_id",
+            *carry,
+            F.size("parts").alias("n"),
+            F.posexplode_outer("parts").alias("i", "part"),
         )
+        .where("i is not null")
         .select(
             "doc_id",
             *carry,
@@ -84,7 +90,7 @@ def _overruled(df: DataFrame, keys: list[str], lexicon: DataFrame) -> DataFrame:
     )
     tokens = lookup_join(tokens, words, ["tok"], "left", [F.col(k) for k in keys] + [F.col("i")])
     merged = tokens.groupBy(*keys).agg(
-        F.array_sort(
+        F.sort_array(
             F.collect_list(
                 F.struct(
                     "i",
@@ -143,17 +149,21 @@ def annotate_questions(questions: DataFrame, lexicon: DataFrame | None = None) -
     return with_tokens(questions.select("q_id", "text"), "text", ["q_id"], lexicon)
 
 
-def explode_tokens(annotated: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per token: ``keys, pos_no, tok, lemma, pos, nec``; no shuffle."""
-    return annotated.select(
-        *keys, F.posexplode(F.arrays_zip(*ARRAYS)).alias("pos_no", "t")
-    ).select(
-        *keys,
-        "pos_no",
-        F.col("t.toks").alias("tok"),
-        F.col("t.lemmas").alias("lemma"),
-        F.col("t.tags").alias("pos"),
-        F.col("t.ents").alias("nec"),
+FIELDS = {"tok": "toks", "lemma": "lemmas", "pos": "tags", "nec": "ents"}
+
+
+def explode_tokens(
+    annotated: DataFrame, keys: list[str], fields: tuple[str, ...] = tuple(FIELDS)
+) -> DataFrame:
+    """One row per token: ``keys, pos_no`` and the ``fields``; no shuffle.
+
+    Name only the fields that are needed: each one left out is an array that is
+    neither computed nor read.
+    """
+    arrays = [FIELDS[f] for f in fields]
+    cells = F.posexplode(F.arrays_zip(*arrays)).alias("pos_no", "t")
+    return annotated.select(*keys, cells).select(
+        *keys, "pos_no", *[F.col(f"t.{FIELDS[f]}").alias(f) for f in fields]
     )
 
 

@@ -100,5 +100,5 @@ def tfidf_vectors(weighted: DataFrame, keys: list[str]) -> DataFrame:
     A group is one sentence or one document, so its size is that of its text.
     """
     return weighted.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("lemma", "tfidf"))).alias("vector")
+        F.sort_array(F.collect_list(F.struct("lemma", "tfidf"))).alias("vector")
     )
