@@ -83,13 +83,12 @@ def _topic_words(spark: SparkSession, sf: str) -> DataFrame:
     topical = topics.topical_sentences(
         segment.annotate(documents, carry=("topic",)), STOP_WORDS
     )
-    lemmas = topical.select("topic", F.explode("lemmas").alias("lemma"))
+    lemmas = segment.explode_lemmas(topical, "topic")
     return topics.topic_top_words(topics.words_by_topic(lemmas))
 
 
 def _vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    lemmas = _topical(spark, sf).select(F.explode("lemmas").alias("lemma"))
-    return topics.vocabulary(lemmas)
+    return topics.vocabulary(segment.explode_lemmas(_topical(spark, sf)))
 
 
 def _embeddings(spark: SparkSession, sf: str) -> DataFrame:
@@ -270,8 +269,7 @@ def vocabulary(spark, sf):
 
 
 def token_totals(spark, sf):
-    lemmas = _topical(spark, sf).select(F.explode("lemmas").alias("lemma"))
-    return topics.token_totals(lemmas)
+    return topics.token_totals(segment.explode_lemmas(_topical(spark, sf)))
 
 
 def topic_tfidf(spark, sf):

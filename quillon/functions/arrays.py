@@ -43,4 +43,6 @@ def counted(values: Column, key: str, count: str) -> Column:
         )
 
     empty = F.expr(f"cast(array() as array<struct<{key}:string,{count}:bigint>>)")
-    return F.when(F.size(values) > 0, bind(F.sort_array(values), runs)).otherwise(empty)
+    return bind(
+        F.sort_array(values), lambda v: F.when(F.size(v) > 0, runs(v)).otherwise(empty)
+    )

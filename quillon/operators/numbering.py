@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillon.operators.segment import explode_lemmas
 from quillon.session import stored
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition number above these
@@ -54,7 +55,7 @@ def initial_index(sentences: DataFrame, page_size: int = 1000) -> DataFrame:
     with the corpus; a letter with fewer lemmas has the single page 0.
     """
     words = (
-        sentences.select(F.explode("lemmas").alias("lemma"))
+        explode_lemmas(sentences)
         .where(F.col("lemma").rlike(r"^\p{L}"))
         .distinct()
         .withColumn("initial", F.substring(F.upper("lemma"), 1, 1))

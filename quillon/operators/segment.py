@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.functions.arrays import counted
+from quillon.functions.arrays import bind, counted
 from quillon.functions.tagging import entity_array, is_content, lemma_array, tag_array
 from quillon.functions.text import bigram_array, sentence_array, token_array
 from quillon.operators.joins import lookup_join
@@ -41,24 +41,21 @@ def split_sentences(documents: DataFrame, carry: tuple[str, ...] = ()) -> DataFr
 
     ``carry`` names further document columns to repeat on each sentence.
     """
+    parts = bind(
+        sentence_array(F.col("text")),
+        lambda all_parts: F.transform(
+            all_parts,
+            lambda p, i: p.withField(
+                "doc_sents", F.when(i == 0, F.size(all_parts)).otherwise(0)
+            ),
+        ),
+    )
     # The outer form keeps Spark from testing for an empty array below the scan, which
     # would split every text a second time; the null test takes its place.
     return (
-        documents.select("doc_id", *carry, sentence_array(F.col("text")).alias("parts"))
-        .select(
-            "doc_id",
-            *carry,
-            F.size("parts").alias("n"),
-            F.posexplode_outer("parts").alias("i", "part"),
-        )
-        .where("i is not null")
-        .select(
-            "doc_id",
-            *carry,
-            F.col("part.sent_no").alias("sent_no"),
-            F.when(F.col("i") == 0, F.col("n")).otherwise(0).alias("doc_sents"),
-            F.col("part.sent").alias("sent"),
-        )
+        documents.select("doc_id", *carry, F.explode_outer(parts).alias("part"))
+        .where("part is not null")
+        .select("doc_id", *carry, "part.sent_no", "part.doc_sents", "part.sent")
     )
 
 
@@ -167,6 +164,13 @@ def explode_tokens(
     )
 
 
+def explode_lemmas(annotated: DataFrame, *keys: str) -> DataFrame:
+    """``keys, lemma``: one row per token (outer form: see ``split_sentences``)."""
+    return annotated.select(*keys, F.explode_outer("lemmas").alias("lemma")).where(
+        "lemma is not null"
+    )
+
+
 def document_tokens(sentences: DataFrame) -> DataFrame:
     """Tokens of a document in order: those of its sentences, one after the other."""
     return explode_tokens(sentences, ["doc_id", "sent_no"])
@@ -188,11 +192,7 @@ def lemma_matches(question_tokens: DataFrame, sentences: DataFrame) -> DataFrame
 
     Corpus lemmas are counted before the join, so no token pair is ever built.
     """
-    corpus = (
-        sentences.select(F.explode("lemmas").alias("lemma"))
-        .groupBy("lemma")
-        .agg(F.count("*").alias("n_matches"))
-    )
+    corpus = explode_lemmas(sentences).groupBy("lemma").agg(F.count("*").alias("n_matches"))
     return question_tokens.join(corpus, "lemma", "left").withColumn(
         "n_matches", F.coalesce("n_matches", F.lit(0).cast("bigint"))
     )
