@@ -7,6 +7,7 @@ the topic of a text and ``embeddings`` the word vectors of the most frequent wor
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -444,9 +445,32 @@ def entry(spark: SparkSession) -> DataFrame:
     return qa_batch(spark, "/root/testdata/sf0.001")
 
 
+def _llm_parts() -> list:
+    """The training-data operators and the pipeline over them, where they are present.
+
+    Only their own absence is forgiven; an error inside them is not.
+    """
+    parts = []
+    for name in ("quillon.llm.registry", "corpus_pipeline"):
+        try:
+            parts.append(importlib.import_module(name))
+        except ModuleNotFoundError as error:
+            if error.name not in (name, "quillon.llm"):
+                raise
+    return parts
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in QUERIES}
+    found = {f.__name__: f for f in QUERIES}
+    for part in _llm_parts():
+        found.update(part.QUERIES)
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.build()
+    found = dict(oracle_queries.build())
+    for part in _llm_parts():
+        texts = part.ORACLE_SQL
+        named = texts if isinstance(texts, dict) else {"pipeline": texts}
+        found.update({name: text for name, text in named.items() if text})
+    return found
