@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from quillon.llm import exact_dedup, oracles, secrets
+from quillon.llm import bpe, exact_dedup, language, oracles, secrets, token_counts
+
+BYTE_BPE, UNIGRAM = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = token_counts.read_pieces(path(UNIGRAM))
+    return token_counts.token_counts(_documents(spark, sf), pieces)
+
+
+def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return language.predict_languages(_documents(spark, sf))
+
+
+def op7_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.round_trip(spark, _documents(spark, sf), path(BYTE_BPE))
+
+
 def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_groups(_documents(spark, sf))
 
@@ -20,6 +36,9 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_token_counts": op5_token_counts,
+    "op6_language_id": op6_language_id,
+    "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
