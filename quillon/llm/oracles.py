@@ -92,3 +92,32 @@ GROUP BY d.doc_id
 
 
 SECRET_SCAN = _secret_scan(240)
+
+
+NEAR_DEDUP = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN []
+           WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+           ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+         END) AS shingles
+  FROM words),
+sizes AS (SELECT doc_id, len(shingles) AS n FROM sets),
+flat AS (SELECT doc_id, unnest(shingles) AS g FROM sets),
+shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c
+  FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT u, v FROM shared JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v
+  WHERE 100 * c >= 80 * (a.n + b.n - c)),
+reach(u, v) AS (
+  SELECT doc_id, doc_id FROM sizes
+  UNION SELECT reach.u, links.v FROM reach JOIN links ON links.u = reach.v)
+SELECT doc_id, any_value(n)::BIGINT AS n_shingles, min(v) AS component_id, doc_id = min(v) AS kept
+FROM sizes JOIN reach ON u = doc_id
+GROUP BY doc_id
+"""

@@ -5,7 +5,17 @@ from __future__ import annotations
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from quillon.llm import bpe, exact_dedup, language, oracles, secrets, token_counts
+from quillon.llm import (
+    bpe,
+    exact_dedup,
+    html_text,
+    language,
+    near_dedup,
+    nearest,
+    oracles,
+    secrets,
+    token_counts,
+)
 
 BYTE_BPE, UNIGRAM = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
@@ -14,6 +24,19 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.near_groups(_documents(spark, sf))
+
+
+def op3_nearest_forest(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return nearest.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op4_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.main_text(spark.read.parquet(f"{sf}/pages.parquet"))
+
+
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     pieces = token_counts.read_pieces(path(UNIGRAM))
     return token_counts.token_counts(_documents(spark, sf), pieces)
@@ -36,6 +59,9 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
+    "op3_nearest_forest": op3_nearest_forest,
+    "op4_html_text": op4_html_text,
     "op5_token_counts": op5_token_counts,
     "op6_language_id": op6_language_id,
     "op7_bpe_round_trip": op7_bpe_round_trip,
@@ -43,6 +69,7 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLE_SQL = {
+    "op1_near_dedup": oracles.NEAR_DEDUP,
     "op8_exact_dedup": oracles.EXACT_DEDUP,
     "op10_secret_scan": oracles.SECRET_SCAN,
 }
