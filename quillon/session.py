@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
 
 def build_session(app: str = "quillon", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on; ``conf`` overrides single settings."""
@@ -26,6 +30,23 @@ def build_session(app: str = "quillon", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, for functions that run there.
+
+    Not needed where it is installed on every node; sent once per application.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    folder = tempfile.mkdtemp(prefix="package-")
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(
+        f"{folder}/quillon_package", "zip", os.path.dirname(package), os.path.basename(package)
+    )
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, taken from ``spark.checkpoint.dir``.
 
