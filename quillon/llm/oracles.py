@@ -121,3 +121,87 @@ SELECT doc_id, any_value(n)::BIGINT AS n_shingles, min(v) AS component_id, doc_i
 FROM sizes JOIN reach ON u = doc_id
 GROUP BY doc_id
 """
+
+
+SUFFIX_DEDUP = """
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n
+  FROM documents),
+strings AS (
+  SELECT doc_id, p, substr(h, (2 * p + 1)::BIGINT, 200) AS g
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(n - 99, 0))) AS p FROM docs)),
+later AS (
+  SELECT doc_id, p FROM strings
+  QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, p) > 1),
+marked AS (
+  SELECT doc_id, p,
+         (p > lag(p, 1, -1000000) OVER (PARTITION BY doc_id ORDER BY p) + 100)::INT AS new
+  FROM later),
+numbered AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM marked),
+spans AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM numbered GROUP BY doc_id, span),
+gaps AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS since FROM spans),
+cut AS (
+  SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last,
+         string_agg(substr(h, (2 * since + 1)::BIGINT, (2 * (a - since))::BIGINT), '' ORDER BY a) AS kept
+  FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, (2 * coalesce(last, 0) + 1)::BIGINT))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (doc_id)
+"""
+
+
+def _source_mixing(rounds: int, temper: float, fraction: float) -> str:
+    rounds_sql, last = "", "start"
+    for number in range(rounds):
+        for dimension in ("source", "lang", "topic"):
+            now = f"r{number}_{dimension}"
+            rounds_sql += f"""
+{now} AS (
+  SELECT * EXCLUDE (w, total_w), CASE WHEN total_w > 0
+         THEN least(w * {dimension}_target / total_w, most) ELSE 0 END AS w
+  FROM (SELECT *, sum(w) OVER (PARTITION BY {dimension}) AS total_w FROM {last})),"""
+            last = now
+    targets = ", ".join(
+        f"{d}_x / sum({d}_x / {d}_n) OVER () AS {d}_target" for d in ("source", "lang", "topic")
+    )
+    powers = ", ".join(
+        f"pow(sum(tokens) OVER (PARTITION BY {d}), {temper}) AS {d}_x,"
+        f" count(*) OVER (PARTITION BY {d}) AS {d}_n"
+        for d in ("source", "lang", "topic")
+    )
+    return f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS source, coalesce(lang, '') AS lang
+  FROM documents),
+counted AS (
+  SELECT *, len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS n_tokens,
+         greatest(length(t), 1) AS size,
+         length(t) - length(translate(t, '0123456789', '')) AS digits,
+         length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) AS capitals
+  FROM texts),
+docs AS (
+  SELECT doc_id, source, lang, n_tokens,
+         CASE WHEN digits / size > 0.05 THEN 'figures' WHEN capitals / size > 0.3 THEN 'capitals'
+              WHEN n_tokens < 100 THEN 'note' WHEN n_tokens < 1000 THEN 'article' ELSE 'long'
+         END AS topic,
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, t)), 1, 13))::BIGINT / 16.0::DOUBLE ** 13
+           AS draw
+  FROM counted),
+cells AS (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL),
+lifted AS (SELECT *, {powers} FROM cells),
+start AS (
+  SELECT source, lang, topic, tokens, {targets},
+         tokens / greatest(sum(tokens) OVER (), 1) AS w,
+         tokens / greatest(sum(tokens) OVER (), 1) / {fraction} AS most
+  FROM lifted),{rounds_sql}
+final AS (
+  SELECT source, lang, topic, w, CASE WHEN most > 0 THEN w / most ELSE 0 END AS chance FROM {last})
+SELECT doc_id, source, lang, topic, n_tokens, round(w, 6) AS cell_weight,
+       round(chance, 6) AS probability, draw < chance AS kept
+FROM docs JOIN final USING (source, lang, topic)
+"""
+
+
+SOURCE_MIXING = _source_mixing(10, 0.7, 0.6)
