@@ -130,6 +130,8 @@ def _segment_rows(documents: DataFrame) -> DataFrame:
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = [segments(data) for data in text_bytes(batch["text"])]
         docs = np.repeat(batch["doc_id"].to_numpy(), [len(f[0]) for f in found])
+        if not len(docs):
+            return
         anchor, content, *places = (np.concatenate(c) for c in zip(*found, strict=True))
         at = _packed(*places)
         order = np.lexsort((at, docs, content, anchor))
