@@ -22,6 +22,7 @@ from quillon.functions.answers import (
     quality_of,
 )
 from quillon.functions.lexicon import STOP_WORDS
+from quillon.functions.text import sentence_array
 from quillon.operators import answering, models, numbering, scoring, segment, tfidf, topics, vectors
 from quillon.plans.answering import Search, answer_questions, document_first
 from quillon.plans.prepared import answer_from_store
@@ -61,7 +62,10 @@ def _questions(spark: SparkSession, sf: str) -> DataFrame:
 
 def _conversation_questions(spark: SparkSession, sf: str) -> DataFrame:
     turns = spark.read.parquet(f"{sf}/conversations.parquet").where("role = 'user'")
-    return turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("q_id"), "text")
+    order = [F.asc("conv_id"), F.asc("turn")]
+    return numbering.numbered(turns.select("conv_id", "turn", "text"), order, "q_id").select(
+        "q_id", "text"
+    )
 
 
 def _asked(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,16 +80,19 @@ def _topical(spark: SparkSession, sf: str) -> DataFrame:
     return topics.topical_sentences(_sentences(spark, sf), STOP_WORDS)
 
 
-def _topic_words(spark: SparkSession, sf: str) -> DataFrame:
-    """The 50 most frequent topical lemmas of each source."""
-    documents = _documents(spark, sf).withColumn(
-        "topic", F.substring("source", 4, 9).cast("int")
-    )
+def _words_by_source(spark: SparkSession, sf: str) -> DataFrame:
+    """How often each topical lemma occurs in each source."""
+    number = F.expr("substring(source, 4)").cast("int")
+    documents = _documents(spark, sf).withColumn("topic", number)
     topical = topics.topical_sentences(
         segment.annotate(documents, carry=("topic",)), STOP_WORDS
     )
-    lemmas = segment.explode_lemmas(topical, "topic")
-    return topics.topic_top_words(topics.words_by_topic(lemmas))
+    return topics.words_by_topic(segment.explode_lemmas(topical, "topic"))
+
+
+def _topic_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The 50 most frequent topical lemmas of each source."""
+    return topics.topic_top_words(_words_by_source(spark, sf))
 
 
 def _vocabulary(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,13 +129,13 @@ def prepared_roundtrip(spark, sf):
 
 
 def topic_report(spark, sf):
-    return reports.topic_lines(_topic_words(spark, sf))
+    return reports.topic_lines(topics.ranked_topic_words(_words_by_source(spark, sf)))
 
 
 def doc_view(spark, sf):
-    # A document has a TF-IDF vector exactly when it has a token.
+    # A document has a TF-IDF vector exactly when it has a sentence, as each has a token.
     documents = _documents(spark, sf)
-    return reports.document_view(documents, F.col("text").rlike(r"\S"))
+    return reports.document_view(documents, F.size(sentence_array(F.col("text"))) > 0)
 
 
 def initial_index(spark, sf):
@@ -312,16 +319,16 @@ def _search(spark, sf, **options) -> Search:
 
 
 def base_score(spark, sf):
-    return scoring.rounded(_search(spark, sf).scores(use_bigrams=False))
+    return scoring.shown(_search(spark, sf).scores(use_bigrams=False))
 
 
 def bigram_score(spark, sf):
-    return scoring.rounded(_search(spark, sf).scores())
+    return scoring.shown(_search(spark, sf).scores())
 
 
 def topic_score(spark, sf):
     words = settled(_topic_words(spark, sf))
-    return scoring.rounded(_search(spark, sf, topic_words=words).topic_scores(words))
+    return scoring.shown(_search(spark, sf, topic_words=words).topic_scores(words))
 
 
 def _top(spark, sf, k):

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Both patterns mean the same in Java and in RE2 (no lookaround).
-SENTENCE_PATTERN = r"[^.!?\n]+[.!?]*"
+SENTENCE_PATTERN = r"[^.!?\n]+[.!?]*|[.!?]+"
 TOKEN_PATTERN = r"[\p{L}\p{N}']+|[^\s\p{L}\p{N}']"
 
 

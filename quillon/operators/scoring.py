@@ -7,10 +7,17 @@ Everything after works on ``matches``:
 
     score = sum(n_question * n_sentence * idf(term)) * 1.3 ** shared bigrams
             * (1.25 if the topics agree)
+
+A scored row carries the exact parts of that product: ``base`` (the sum, in units of
+10^-9), ``shared`` and ``boosted``. All are whole numbers, so they do not depend on the
+order in which a cluster happens to add them up and do not overflow for want of room in
+a float. Rows are ranked by the logarithm of the product, by one rule at every size.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,13 +34,12 @@ BIGRAM_BOOST = 1.3
 TOPIC_BOOST = 1.25
 NO_TOPIC = -1
 
-# Ranks must not depend on the order in which a cluster happens to add up the terms.
-# Scores are therefore compared rounded: to DECIMALS below EXACT_BELOW, and to 24
-# significant bits above, where repeated bigrams make a score of any magnitude.
-DECIMALS = 6
-EXACT_BELOW = 1e6
+# IDF is counted in units of 1 / IDF_UNITS.
+IDF_UNITS = 10**9
+# A score is shown with 24 significant bits: multiplying by 2^29 + 1 and taking the
+# excess away again drops the low 29. It is scaled down meanwhile, to stay finite.
 _SPLIT = float(2**29 + 1)
-_SPLIT_BELOW = 1e290
+_SCALE = float(2**60)
 
 # Question-element pairs that one task adds up; more would not fit in its memory.
 PAIRS_PER_TASK = 1_000_000
@@ -153,9 +159,9 @@ def sentence_count(matches: DataFrame) -> Column:
     return matches.where(F.col("kind") == SIZE).agg(F.sum("n").alias("m")).scalar()
 
 
-def document_count(matches: DataFrame) -> Column:
-    """Number of documents with at least one sentence, as a scalar subquery."""
-    return matches.where(F.col("kind") == SIZE).agg(F.count("*").alias("m")).scalar()
+def document_count(documents: DataFrame) -> Column:
+    """Number of documents, also of those without a sentence, as a scalar subquery."""
+    return documents.agg(F.count("*").alias("m")).scalar()
 
 
 def scoring_tasks(features: DataFrame, weights: DataFrame) -> int:
@@ -180,7 +186,7 @@ def score(
     use_bigrams: bool = True,
     within: DataFrame | None = None,
 ) -> DataFrame:
-    """``q_id, keys, score`` of every element with a score above 0.
+    """``q_id, keys, base, shared, boosted`` of every element with a score above 0.
 
     ``matches`` is shuffled once, on the element's key; the question side is then
     looked up in place (it is broadcast when ``small``), so the rows of the far larger
@@ -189,7 +195,7 @@ def score(
     """
     idf = idf_value(size, F.col("df"))
     asked = features.join(weights.select(*FEATURE, "df"), FEATURE).select(
-        "q_id", *FEATURE, "nq", idf.alias("idf")
+        "q_id", *FEATURE, "nq", F.round(idf * IDF_UNITS).cast("bigint").alias("idf")
     )
     carried = [c for c in ("topic",) if c in matches.columns]
     located = matches.where(F.col("kind") != SIZE).repartition(tasks, *keys)
@@ -205,31 +211,38 @@ def score(
         F.coalesce(F.sum(shared), F.lit(0)).alias("shared"),
         *[F.max(c).alias(c) for c in carried],
     )
-    value = F.col("base")
-    if use_bigrams:
-        value = value * F.pow(F.lit(BIGRAM_BOOST), F.col("shared"))
+    pairs_shared = F.col("shared") if use_bigrams else F.lit(0).cast("bigint")
+    return summed.where("base > 0").select(
+        "q_id", *keys, "base", pairs_shared.alias("shared"), F.lit(0).alias("boosted"), *carried
+    )
+
+
+def rank_value() -> Column:
+    """What scored rows are ranked by: the logarithm of their score (and a constant)."""
     return (
-        summed.withColumn("score", value).where("score > 0").select("q_id", *keys, "score", *carried)
+        F.log(F.col("base"))
+        + F.col("shared") * F.lit(math.log(BIGRAM_BOOST))
+        + F.col("boosted") * F.lit(math.log(TOPIC_BOOST))
     )
 
 
-def rounded(scored: DataFrame) -> DataFrame:
-    """``score`` as it is compared and shown (see ``DECIMALS``)."""
-    value = F.col("score")
-    # Multiplying by 2^29 + 1 and taking the excess away again drops the low 29 bits.
-    coarse = value * _SPLIT - (value * _SPLIT - value)
-    return scored.withColumn(
-        "score",
-        F.when(value < EXACT_BELOW, F.round(value, DECIMALS))
-        .when(value < _SPLIT_BELOW, coarse)
-        .otherwise(value),
+def shown(scored: DataFrame) -> DataFrame:
+    """``score`` in place of its parts, with 24 significant bits; infinite past a float."""
+    product = (
+        F.col("base")
+        / F.lit(float(IDF_UNITS))
+        * F.pow(F.lit(BIGRAM_BOOST), F.col("shared"))
+        * F.pow(F.lit(TOPIC_BOOST), F.col("boosted"))
     )
+    small = product / F.lit(_SCALE)
+    coarse = (small * _SPLIT - (small * _SPLIT - small)) * F.lit(_SCALE)
+    return scored.withColumn("score", F.nanvl(coarse, product)).drop("base", "shared", "boosted")
 
 
 def boost_topics(
     scored: DataFrame, question_topics: DataFrame, sentence_topics: DataFrame | None = None
 ) -> DataFrame:
-    """Raise the score where the sentence's topic is the question's.
+    """Mark the rows whose sentence has the question's topic as ``boosted``.
 
     Topics come from ``sentence_topics(doc_id, sent_no, topic)``, or from a ``topic``
     column that the scored rows already carry.
@@ -239,15 +252,13 @@ def boost_topics(
     asked = question_topics.select("q_id", F.col("topic").alias("q_topic"))
     joined = lookup_join(scored, asked, ["q_id"], "left", [F.col("doc_id"), F.col("sent_no")])
     same = (F.col("topic") != NO_TOPIC) & (F.col("topic") == F.col("q_topic"))
-    return joined.withColumn(
-        "score", F.when(same, F.col("score") * TOPIC_BOOST).otherwise(F.col("score"))
-    ).drop("topic", "q_topic")
+    return joined.withColumn("boosted", F.when(same, 1).otherwise(0)).drop("topic", "q_topic")
 
 
 def top_elements(scored: DataFrame, k: int, keys: list[str]) -> DataFrame:
-    """The ``k`` best elements per question, with their ``rank``; ties go by key."""
-    order = [F.desc("score"), *[F.asc(c) for c in keys]]
-    return top_per_group(rounded(scored), ["q_id"], order, k, "rank")
+    """The ``k`` best elements per question, with ``rank`` and ``score``; ties go by key."""
+    order = [rank_value().desc(), *[F.asc(c) for c in keys]]
+    return shown(top_per_group(scored, ["q_id"], order, k, "rank"))
 
 
 def questions_are_small(features: DataFrame) -> bool:

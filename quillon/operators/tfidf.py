@@ -30,7 +30,9 @@ def document_lemmas(documents: DataFrame) -> DataFrame:
     inside the row and nothing is shuffled.
     """
     tokens = F.flatten(
-        F.transform(sentence_array(F.col("text")), lambda p: token_array(p["sent"]))
+        F.transform(
+            sentence_array(F.coalesce("text", F.lit(""))), lambda p: token_array(p["sent"])
+        )
     )
     return documents.select("doc_id", tokens.alias("toks")).select(
         "doc_id", lemma_array("toks").alias("lemmas")

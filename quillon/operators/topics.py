@@ -72,6 +72,16 @@ def topic_top_words(weighted: DataFrame, k: int = 50) -> DataFrame:
     return ranked.select("topic", "rank", "term", "weight")
 
 
+def ranked_topic_words(weighted: DataFrame) -> DataFrame:
+    """``topic, rank, term, weight`` of *all* words of each topic, in the order of
+    ``topic_top_words``, without sorting a topic in one task."""
+    order = [F.asc("topic"), F.desc("weight"), F.asc("term")]
+    placed = numbered(weighted, order, "id")
+    first = placed.groupBy("topic").agg(F.min("id").alias("first"))
+    rank = (F.col("id") - F.col("first") + 1).alias("rank")
+    return placed.join(first, "topic").select("topic", rank, "term", "weight")
+
+
 def words_by_topic(tokens: DataFrame) -> DataFrame:
     """``topic, term, weight``: how often each lemma occurs under a token's topic."""
     return tokens.groupBy("topic", F.col("lemma").alias("term")).agg(

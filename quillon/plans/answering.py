@@ -30,6 +30,7 @@ class Search:
     weights: DataFrame  # kind, key, df
     size: Column  # number of sentences
     small: bool
+    documents: Column | None = None  # number of documents
 
     @cached_property
     def tasks(self) -> int:
@@ -42,8 +43,12 @@ class Search:
         sentences: DataFrame,
         synonyms: DataFrame | None = None,
         topic_words: DataFrame | None = None,
+        documents: DataFrame | None = None,
     ) -> Search:
-        """One pass over annotated sentences for everything the questions ask."""
+        """One pass over annotated sentences for everything the questions ask.
+
+        ``documents`` are counted, for scores of whole documents.
+        """
         features = scoring.question_features(questions, synonyms)
         small = scoring.questions_are_small(features)
         # Distinct features are no more than the features themselves.
@@ -57,6 +62,7 @@ class Search:
             scoring.feature_weights(matches),
             scoring.sentence_count(matches),
             small,
+            None if documents is None else scoring.document_count(documents),
         )
 
     def scores(self, use_bigrams: bool = True, within: DataFrame | None = None) -> DataFrame:
@@ -83,7 +89,7 @@ class Search:
             self.features,
             per_document,
             weights,
-            scoring.document_count(self.matches),
+            self.documents,
             DOCUMENT,
             self.small,
             self.tasks,
@@ -173,7 +179,9 @@ def document_first(
     Both scores come from the same pass over the corpus.
     """
     annotated = segment.annotate_questions(questions)
-    search = Search.over_sentences(annotated, segment.annotate(documents), synonyms)
+    search = Search.over_sentences(
+        annotated, segment.annotate(documents), synonyms, documents=documents
+    )
     best = scoring.top_elements(search.document_scores(), n_documents, DOCUMENT)
     within = best.select("q_id", "doc_id")
     if questions.count() * n_documents <= MAX_BROADCAST_ROWS:

@@ -26,7 +26,7 @@ def document_view(documents: DataFrame, has_vector: Column | None = None) -> Dat
     flag = F.lit(False) if has_vector is None else has_vector
     prefix = F.when(flag, F.lit("{TF-IDF set} ")).otherwise(F.lit("{no TF-IDF} "))
     return (
-        documents.withColumn("parts", sentence_array(F.col("text")))
+        documents.withColumn("parts", sentence_array(F.coalesce("text", F.lit(""))))
         .withColumn("lines", F.expr(f"transform(parts, s -> {_SENTENCE_LINE})"))
         .select("doc_id", F.concat(prefix, F.array_join("lines", "")).alias("view"))
     )

@@ -74,11 +74,11 @@ def test_boosts_never_lower_a_score(asked, corpus, frame):
         segment.annotate_questions(asked), segment.annotate(corpus), topic_words=words
     )
     keys = ["q_id", "doc_id", "sent_no"]
-    base = search.scores(use_bigrams=False).withColumnRenamed("score", "base")
-    full = search.topic_scores(words)
+    base = scoring.shown(search.scores(use_bigrams=False)).withColumnRenamed("score", "plain")
+    full = scoring.shown(search.topic_scores(words))
     joined = base.join(full, keys)
     assert joined.count() == base.count() == full.count() > 0
-    assert joined.where("score < base").count() == 0
+    assert joined.where("score < plain").count() == 0
     assert scoring.TOPIC_BOOST == 1.25 and scoring.BIGRAM_BOOST == 1.3
 
 
@@ -185,7 +185,7 @@ def test_models(spark, corpus, tmp_path):
             assert weights == sorted(weights, reverse=True)
     save_model(model, str(tmp_path / "lda"))
     assert load_lda(str(tmp_path / "lda")).vocabSize() == len(counts.vocabulary)
-    w2v = models.fit_word2vec(segment.annotate(corpus), size=8, min_count=1, parts=1)
+    w2v = models.fit_word2vec(segment.annotate(corpus), size=8, min_count=1, slices=1)
     found = models.word_vectors(w2v).collect()
     assert {len(r.vector) for r in found} == {8}
     save_model(w2v, str(tmp_path / "w2v"))

@@ -20,12 +20,15 @@ def duck():
     return con
 
 
+OWN = {f.__name__ for f in entry_points.QUERIES}
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"hashed_tf", "tfidf_ml", "word2vec_vectors", "lda_topics"}
+    assert OWN - set(ORACLE) == {"hashed_tf", "tfidf_ml", "word2vec_vectors", "lda_topics"}
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(OWN & set(ORACLE)))
 def test_same_rows(spark, duck, name):
     ours = QUERIES[name](spark, DATA).toPandas()
     theirs = duck.sql(ORACLE[name]).df()

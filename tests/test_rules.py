@@ -1,5 +1,7 @@
 """Hand-worked cases of the column expressions."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,16 +151,59 @@ def test_worked_scores(frame):
     search = Search(None, features, matches, weights, size, True)
 
     def by_sentence(scored):
-        return {r.sent_no: round(r.score, 6) for r in scored.collect()}
+        return {r.sent_no: r.score for r in scoring.shown(scored).collect()}
 
-    assert by_sentence(search.scores(use_bigrams=False)) == {0: 0.575364, 2: 1.843875}
+    plain = by_sentence(search.scores(use_bigrams=False))
+    assert plain == pytest.approx({0: 0.575364, 2: 1.843875}, abs=1e-6)
     boosted = search.scores()
     assert by_sentence(boosted) == pytest.approx({0: 0.575364, 2: 3.116150}, abs=2e-6)
     asked = frame([(5, 1)], "q_id bigint, topic int")
     of_sentence = frame([(1, 2, 1), (1, 0, -1)], "doc_id bigint, sent_no int, topic int")
     got = by_sentence(scoring.boost_topics(boosted, asked, of_sentence))
-    assert got[0] == 0.575364 and got[2] == pytest.approx(3.895187, abs=2e-6)
+    assert got[0] == plain[0] and got[2] == pytest.approx(3.895187, abs=2e-6)
     none = frame([(5, -1)], "q_id bigint, topic int")
-    assert by_sentence(scoring.boost_topics(boosted, none, of_sentence))[0] == 0.575364
+    assert by_sentence(scoring.boost_topics(boosted, none, of_sentence))[0] == plain[0]
     top = scoring.top_elements(boosted, 5, ["doc_id", "sent_no"]).collect()
     assert [(r.rank, r.sent_no) for r in sorted(top, key=lambda r: r.rank)] == [(1, 2), (2, 0)]
+
+
+def test_one_rank_rule_at_every_size(frame):
+    unit = scoring.IDF_UNITS
+    rows = [
+        (1, 10_000_000 * unit, 0, 0),
+        (2, 10_000_000 * unit + unit // 10, 0, 0),
+        (3, 300, 0, 0),
+        (4, 400, 0, 0),
+        (5, unit, 3000, 0),
+        (6, unit, 3000, 1),
+        (7, unit + 1, 3000, 1),
+        (8, unit, 3001, 0),
+    ]
+    scored = frame(
+        [(0, *row) for row in rows],
+        "q_id bigint, doc_id bigint, base bigint, shared bigint, boosted int",
+    )
+    top = scoring.top_elements(scored, 8, ["doc_id"]).orderBy("rank").collect()
+    assert [r.doc_id for r in top] == [8, 7, 6, 5, 2, 1, 4, 3]
+    shown = {r.doc_id: r.score for r in top}
+    assert shown[6] == shown[8] == float("inf")
+    assert shown[1] == pytest.approx(1e7, rel=1e-7) and shown[4] == pytest.approx(4e-7, rel=1e-7)
+
+
+def test_leading_punctuation_is_kept(frame):
+    docs = frame([(1, "!!! Wow"), (2, "..."), (3, "a.\n?! b")], "doc_id bigint, text string")
+    rows = segment.annotate(docs).orderBy("doc_id", "sent_no").collect()
+    assert [r.sent for r in rows] == ["!!!", "Wow", "...", "a.", "?!", "b"]
+
+
+def test_documents_without_text_count(frame):
+    from quillon.operators import tfidf
+    from quillon.plans.answering import document_first
+
+    rows = [(1, "stack hold"), (2, "stack queue. list"), (3, "queue"), (4, ""), (5, None)]
+    docs = frame(rows, "doc_id bigint, text string")
+    idf = {r.lemma: r.idf for r in tfidf.idf(tfidf.document_lemmas(docs)).collect()}
+    assert idf["stack"] == pytest.approx(math.log(6 / 3))
+    asked = frame([(1, "stack list")], "q_id bigint, text string")
+    found = document_first(asked, docs, n_documents=1).collect()
+    assert {r.doc_id for r in found} == {2}
