@@ -10,7 +10,7 @@ from __future__ import annotations
 import importlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import oracle_queries
@@ -35,13 +35,23 @@ from quillon.streaming.questions import answer_stream, read_question_stream
 SENTENCE, DOCUMENT = tfidf.SENTENCE, tfidf.DOCUMENT
 # Question words, by item number.
 QUESTION_WORDS = ("who", "what", "when", "where", "why", "how")
+# Words of the given documents as a lexicon: lemma, part of speech, entity class.
+LEXICON = {
+    "nd": ("Nd", "NNP", "LOCATION"),
+    "th": (None, "NNP", "LOCATION"),
+    "ing": ("Ing", "NNP", "ORGANIZATION"),
+    "Ing": ("Ing", "NNP", "ORGANIZATION"),
+    "en": (None, None, "PERSON"),
+}
 
 
 # --- inputs -----------------------------------------------------------------
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return read_documents(spark, f"{sf}/documents.parquet")
+    # The given table is one file: dealt out, so that all cores have work.
+    parts = spark.sparkContext.defaultParallelism
+    return read_documents(spark, f"{sf}/documents.parquet", parts)
 
 
 def _sentences(spark: SparkSession, sf: str) -> DataFrame:
@@ -166,6 +176,16 @@ def entity_tags(spark, sf):
     return _tokens(spark, sf, "nec")
 
 
+def _lexicon(spark: SparkSession) -> DataFrame:
+    rows = [(word, *rest) for word, rest in LEXICON.items()]
+    return spark.createDataFrame(rows, "surface string, lemma string, pos string, nec string")
+
+
+def lexicon_tags(spark, sf):
+    annotated = segment.annotate(_documents(spark, sf), _lexicon(spark))
+    return segment.explode_tokens(annotated, SENTENCE)
+
+
 def content_tokens(spark, sf):
     return segment.content_tokens(_tokens(spark, sf, "lemma", "pos"))
 
@@ -234,21 +254,32 @@ def tfidf_vectors(spark, sf):
 
 
 def hashed_tf(spark, sf):
-    hashed = models.hashed_tf(_sentences(spark, sf))
-    return hashed.select(*SENTENCE, F.col("tf").cast("string").alias("tf"))
+    """What does not depend on the hash: the counts of a sentence add up to its tokens."""
+    rows = _sentences(spark, sf).select(*SENTENCE, "lemmas")
+    hashed = models.fit_hashed_tfidf(rows).transform(rows)
+    total = F.aggregate(models.sparse_cells("tf"), F.lit(0.0), lambda s, c: s + c["value"])
+    return hashed.select(*SENTENCE, total.cast("bigint").alias("n_tokens"))
 
 
 def tfidf_ml(spark, sf):
     rows = _sentences(spark, sf).select(*SENTENCE, "lemmas")
-    fitted = models.fit_hashed_tfidf(rows).transform(rows)
-    return fitted.select(*SENTENCE, F.col("tfidf").cast("string").alias("tfidf"))
+    words = segment.explode_lemmas(rows).distinct().count()
+    model = models.fit_tfidf(rows, words)
+    names = spark.createDataFrame(
+        list(enumerate(model.stages[0].vocabulary)), "place int, lemma string"
+    )
+    cells = model.transform(rows).select(*SENTENCE, F.explode(models.sparse_cells("tfidf")).alias("c"))
+    weighted = cells.select(*SENTENCE, "c.place", F.round("c.value", 6).alias("tfidf"))
+    return weighted.join(names, "place").select(*SENTENCE, "lemma", "tfidf")
 
 
 # --- word vectors -----------------------------------------------------------
 
 
 def word2vec_vectors(spark, sf):
-    return models.word_vectors(models.fit_word2vec(_sentences(spark, sf)))
+    """What a fit cannot vary: the words that have a vector, and its size."""
+    vectors = models.word_vectors(models.fit_word2vec(_sentences(spark, sf)))
+    return vectors.select("term", F.size("vector").alias("size"))
 
 
 def nearest_vectors(spark, sf):
@@ -285,8 +316,15 @@ def topic_tfidf(spark, sf):
 
 
 def lda_topics(spark, sf):
+    """What a fit cannot vary: all words are ranked in each topic, by falling weight."""
     model, counts = models.fit_topics(_topical(spark, sf))
-    return models.describe_topics(model, counts)
+    described = models.describe_topics(model, counts)
+    known = _vocabulary(spark, sf).select("term", F.lit(True).alias("known"))
+    before = F.lag("weight").over(Window.partitionBy("topic").orderBy("rank"))
+    falling = F.coalesce(F.col("weight") <= before, F.lit(True))
+    return described.withColumn("falling", falling).join(known, "term", "left").select(
+        "topic", "rank", F.coalesce("known", F.lit(False)).alias("known"), "falling"
+    )
 
 
 def topic_top_words(spark, sf):
@@ -388,6 +426,13 @@ def answers_legacy(spark, sf):
     return answer_questions(_questions(spark, sf), _documents(spark, sf), legacy_span=True)
 
 
+def answers_lexicon(spark, sf):
+    """Answers with a lexicon that knows places and organizations."""
+    return answer_questions(
+        _questions(spark, sf), _documents(spark, sf), lexicon=_lexicon(spark)
+    )
+
+
 def qa_conversations(spark, sf):
     return answer_questions(_conversation_questions(spark, sf), _documents(spark, sf))
 
@@ -433,7 +478,7 @@ def qa_stream(spark, sf):
 
 QUERIES = [
     corpus_scan, prepared_roundtrip, topic_report, doc_view, initial_index,
-    sentences, tokens, lemmas, pos_tags, entity_tags, content_tokens, bigrams,
+    sentences, tokens, lemmas, pos_tags, entity_tags, lexicon_tags, content_tokens, bigrams,
     question_tokens, question_bigrams, lemma_match,
     term_freq, idf_sentence, idf_document, tfidf_sentence, tfidf_document, tfidf_vectors,
     hashed_tf, tfidf_ml,
@@ -442,7 +487,7 @@ QUERIES = [
     topic_top_words, sentence_topic, question_topic,
     question_type, target_terms, base_score, bigram_score, topic_score,
     top_sentences, top1_sentence, answer_why, answer_entity, answer_definition,
-    qa_batch, answers, answers_legacy, qa_conversations, answer_report, answer_digest,
+    qa_batch, answers, answers_legacy, answers_lexicon, qa_conversations, answer_report, answer_digest,
     best_answer, two_stage_retrieval, qa_store, qa_stream,
 ]
 

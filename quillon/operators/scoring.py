@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from quillon.functions.arrays import counted
 from quillon.functions.text import bigram_array
+from quillon.operators import joins
 from quillon.operators.joins import is_small, lookup_join
 from quillon.operators.numbering import top_per_group
 from quillon.operators.segment import bigrams, content_tokens, explode_tokens
@@ -150,8 +151,12 @@ def matching_features(
 
 
 def feature_weights(matches: DataFrame) -> DataFrame:
-    """``kind, key, df, total``: in how many elements a feature occurs, and how often."""
-    return matches.groupBy(*FEATURE).agg(F.count("*").alias("df"), F.sum("n").alias("total"))
+    """``kind, key, df, total``: in how many elements a feature occurs, and how often.
+
+    Written once: the number of tasks and every block of questions are read off it.
+    """
+    counts = matches.groupBy(*FEATURE).agg(F.count("*").alias("df"), F.sum("n").alias("total"))
+    return stored(counts, "weights")
 
 
 def sentence_count(matches: DataFrame) -> Column:
@@ -189,19 +194,53 @@ def score(
     """``q_id, keys, base, shared, boosted`` of every element with a score above 0.
 
     ``matches`` is shuffled once, on the element's key; the question side is then
-    looked up in place (it is broadcast when ``small``), so the rows of the far larger
-    product are added up where they arise and are never shuffled.
-    ``within(q_id, doc_id)`` restricts the search to some documents per question.
+    broadcast and looked up in place, so the rows of the far larger product are added up
+    where they arise and are never shuffled. Questions that are not ``small`` are cut into
+    blocks that are, and each block is scored so over the same ``matches``.
+    ``within(q_id, doc_id)`` restricts the search to some documents per question, and
+    ``matches`` to those documents beforehand.
     """
+    if within is not None:
+        chosen = within.select("doc_id").distinct()
+        matches = lookup_join(matches, chosen, ["doc_id"], "left_semi")
+    options = (matches, weights, size, keys, tasks, use_bigrams, within)
+    if small:
+        return _score_block(features, *options)
+    scored = None
+    for block in question_blocks(features):
+        part = _score_block(block, *options)
+        scored = part if scored is None else scored.unionByName(part)
+    return scored
+
+
+def question_blocks(features: DataFrame) -> list[DataFrame]:
+    """``features`` cut by question into parts of about half of what may be broadcast."""
+    width = F.octet_length("key") + 32
+    size = features.agg(F.count("*").alias("n"), F.sum(width).alias("bytes")).first()
+    rows, most = 2 * size["n"] // joins.MAX_BROADCAST_ROWS, joins.MAX_BROADCAST_BYTES
+    blocks = 1 + max(rows, 2 * (size["bytes"] or 0) // most)
+    own = F.pmod(F.xxhash64("q_id"), F.lit(blocks))
+    return [features.where(own == block) for block in range(blocks)]
+
+
+def _score_block(
+    features: DataFrame,
+    matches: DataFrame,
+    weights: DataFrame,
+    size: Column,
+    keys: list[str],
+    tasks: int,
+    use_bigrams: bool,
+    within: DataFrame | None,
+) -> DataFrame:
+    """``score`` for questions few enough to be broadcast."""
     idf = idf_value(size, F.col("df"))
     asked = features.join(weights.select(*FEATURE, "df"), FEATURE).select(
         "q_id", *FEATURE, "nq", F.round(idf * IDF_UNITS).cast("bigint").alias("idf")
     )
     carried = [c for c in ("topic",) if c in matches.columns]
     located = matches.where(F.col("kind") != SIZE).repartition(tasks, *keys)
-    pairs = lookup_join(
-        located, asked, FEATURE, "inner", [F.col(k) for k in keys], small=small
-    )
+    pairs = located.join(F.broadcast(asked), FEATURE)
     if within is not None:
         pairs = pairs.join(within, ["q_id", "doc_id"], "left_semi")
     term = F.when(F.col("kind") == TERM, F.col("n") * F.col("nq") * F.col("idf"))

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions.arrays import bind, counted
@@ -34,6 +34,8 @@ SENTENCE_SCHEMA = (
     "lemmas array<string>, tags array<string>, ents array<string>"
 )
 ARRAYS = ["toks", "lemmas", "tags", "ents"]
+# A map is searched from its start, so only a short lexicon is looked up in one.
+MAX_MAPPED_WORDS = 500
 
 
 def split_sentences(documents: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -72,16 +74,19 @@ def _ruled(df: DataFrame, text: str) -> DataFrame:
 def _overruled(df: DataFrame, keys: list[str], lexicon: DataFrame) -> DataFrame:
     """Replace lemma, tag and entity of the tokens that a lexicon lists.
 
-    ``lexicon(surface, lemma, pos, nec)`` has one row per surface form; a null
-    field leaves the rule's value. Tokens are regrouped per sentence, which is
+    ``lexicon(surface, lemma, pos, nec)``; a null field leaves the rule's value, and of
+    several rows for a surface the least value of each field counts. A lexicon of some
+    hundred words is looked up inside the row, from a map that is the one row of a
+    broadcast. A larger one is joined, and tokens are regrouped per sentence, which is
     bounded by the sentence.
     """
-    words = lexicon.select(
-        F.col("surface").alias("tok"),
-        F.col("lemma").alias("lex_lemma"),
-        F.col("pos").alias("lex_tag"),
-        F.col("nec").alias("lex_ent"),
+    words = lexicon.where("surface is not null").groupBy(F.col("surface").alias("tok")).agg(
+        F.min("lemma").alias("lex_lemma"),
+        F.min("pos").alias("lex_tag"),
+        F.min("nec").alias("lex_ent"),
     )
+    if words.limit(MAX_MAPPED_WORDS + 1).count() <= MAX_MAPPED_WORDS:
+        return _looked_up(df, words)
     tokens = df.select(*keys, F.posexplode(F.arrays_zip(*ARRAYS)).alias("i", "t")).select(
         *keys, "i", F.col("t.toks").alias("tok"), "t.lemmas", "t.tags", "t.ents"
     )
@@ -98,15 +103,31 @@ def _overruled(df: DataFrame, keys: list[str], lexicon: DataFrame) -> DataFrame:
             )
         ).alias("t")
     )
-    return df.drop("lemmas", "tags", "ents").join(
-        merged.select(
-            *keys,
-            F.col("t.lemma").alias("lemmas"),
-            F.col("t.tag").alias("tags"),
-            F.col("t.ent").alias("ents"),
-        ),
-        keys,
+    changed = merged.select(
+        *keys,
+        F.col("t.lemma").alias("lex_lemmas"),
+        F.col("t.tag").alias("lex_tags"),
+        F.col("t.ent").alias("lex_ents"),
     )
+    joined = df.join(changed, keys, "left")
+    for name in ("lemmas", "tags", "ents"):
+        joined = joined.withColumn(name, F.coalesce(f"lex_{name}", name)).drop(f"lex_{name}")
+    return joined
+
+
+def _looked_up(df: DataFrame, words: DataFrame) -> DataFrame:
+    """``_overruled`` for few words, without a shuffle of ``df``."""
+    entry = F.struct("tok", F.struct("lex_lemma", "lex_tag", "lex_ent"))
+    table = words.agg(F.map_from_entries(F.collect_list(entry)).alias("lexicon"))
+    out = df.join(F.broadcast(table))
+
+    def overruled(rule: str, field: str) -> Column:
+        known = F.col("lexicon")
+        return F.zip_with("toks", rule, lambda t, own: F.coalesce(known[t][field], own))
+
+    for rule, field in (("lemmas", "lex_lemma"), ("tags", "lex_tag"), ("ents", "lex_ent")):
+        out = out.withColumn(rule, overruled(rule, field))
+    return out.drop("lexicon")
 
 
 def with_tokens(
@@ -171,11 +192,6 @@ def explode_lemmas(annotated: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def document_tokens(sentences: DataFrame) -> DataFrame:
-    """Tokens of a document in order: those of its sentences, one after the other."""
-    return explode_tokens(sentences, ["doc_id", "sent_no"])
-
-
 def content_tokens(tokens: DataFrame) -> DataFrame:
     """Nouns and verbs only."""
     return tokens.where(is_content(F.col("pos")))

@@ -132,4 +132,5 @@ def assign_topics(
     hits = lookup_join(
         lemmas, words.unionByName(empty), ["key"], "inner", [F.col(k) for k in keys]
     )
-    return _best_topic(hits, keys)
+    # Dealt by element once, both sums of it are made in place.
+    return _best_topic(hits.select(*keys, "topic", "n").repartition(*keys), keys)

@@ -37,14 +37,11 @@ def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """The ``documents`` table, dealt out by ``doc_id`` if its files are too few.
+def read_documents(spark: SparkSession, path: str, parts: int | None = None) -> DataFrame:
+    """The ``documents`` table in the splits of its files.
 
-    A table of many files keeps its own splits; only one that would leave cores idle
-    (fewer splits than the session's parallelism) is spread.
+    ``parts`` deals it out by ``doc_id`` instead, which moves every text: only for a table
+    of a single small file, which would leave cores idle.
     """
     documents = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if documents.select("doc_id").rdd.getNumPartitions() < cores:
-        return documents.repartition(cores, "doc_id")
-    return documents
+    return documents if parts is None else documents.repartition(parts, "doc_id")

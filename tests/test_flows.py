@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillon.operators import joins, models, numbering, segment, tfidf, topics, vectors
+from quillon.operators import joins, models, numbering, scoring, segment, tfidf, topics, vectors
 from quillon.operators.answering import answer_digest
 from quillon.plans.answering import answer_questions, document_first
 from quillon.plans.prepared import answer_from_store
@@ -58,6 +58,23 @@ def test_large_side_path_gives_the_same(asked, corpus, frame, monkeypatch):
         tfidf.idf(segment.annotate(corpus)), tfidf.SENTENCE))
 
 
+def test_many_questions_are_scored_in_blocks(asked, corpus, monkeypatch):
+    from quillon.plans.answering import Search
+
+    usual = rows(answer_questions(asked, corpus, 5))
+    monkeypatch.setattr("quillon.operators.scoring.is_small", lambda df: False)
+    monkeypatch.setattr("quillon.operators.joins.MAX_BROADCAST_ROWS", 16)
+    search = Search.over_sentences(segment.annotate_questions(asked), segment.annotate(corpus))
+    assert len(scoring.question_blocks(search.features)) > 1
+    assert rows(answer_questions(asked, corpus, 5)) == usual
+    # Between the sums and the pairs they add up there is no exchange.
+    lines = plan(search.scores()).splitlines()
+    sums = [i for i, line in enumerate(lines) if "HashAggregate" in line and "base" in line]
+    for at in sums:
+        below = next(line for line in lines[at + 1 :] if "Join" in line or "Exchange" in line)
+        assert "BroadcastHashJoin" in below
+
+
 def test_is_small_measures(frame):
     table = frame([("abc",), ("d" * 1000,)], "key string")
     assert joins.is_small(table)
@@ -66,7 +83,6 @@ def test_is_small_measures(frame):
 
 
 def test_boosts_never_lower_a_score(asked, corpus, frame):
-    from quillon.operators import scoring
     from quillon.plans.answering import Search
 
     words = frame([(0, 1, "index", 2.0)], "topic int, rank int, term string, weight double")
@@ -98,7 +114,7 @@ def test_store_and_stream_equal_batch(spark, asked, corpus):
         read_store(spark, f"{path}/nothing")
 
 
-def test_lexicon_and_model(frame, spark, corpus):
+def test_lexicon_and_model(frame, spark, corpus, monkeypatch):
     lexicon = frame(
         [("Eve", "eve", "NNP", "ORGANIZATION"), ("segment", None, "FW", None)],
         "surface string, lemma string, pos string, nec string",
@@ -109,6 +125,17 @@ def test_lexicon_and_model(frame, spark, corpus):
     assert ruled[0].tags[4] == "FW" and ruled[0].lemmas == plain[0].lemmas
     assert [r.doc_sents for r in ruled] == [3, 0, 0]
 
+    assert rows(segment.annotate(corpus, lexicon.unionByName(lexicon))) == rows(
+        segment.annotate(corpus, lexicon)
+    )
+    blank = frame([(1, "Eve met"), (2, ""), (3, " ")], "q_id bigint, text string")
+    mapped = rows(segment.annotate_questions(blank, lexicon))
+    assert len(mapped) == 3
+    documents = rows(segment.annotate(corpus, lexicon))
+    monkeypatch.setattr("quillon.operators.segment.MAX_MAPPED_WORDS", 0)
+    assert rows(segment.annotate_questions(blank, lexicon).select(blank.columns + segment.ARRAYS)) == mapped
+    assert rows(segment.annotate(corpus, lexicon)) == documents
+
     def model(batches):
         for batch in batches:
             out = batch.assign(sent_no=0, doc_sents=1, sent=batch["text"])
@@ -208,6 +235,9 @@ def plan(df):
 def test_plans(spark, asked):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     sentences = segment.annotate(docs)
+    words = spark.createDataFrame([("the", 1), ("an", 2)], "term string, topic int")
+    assigned = topics.assign_topics(sentences, words, tfidf.SENTENCE)
+    assert plan(assigned).count("Exchange hashpartitioning") == 1
     for df in (sentences, segment.bigrams(sentences, tfidf.SENTENCE),
                tfidf.term_freq(sentences, tfidf.SENTENCE), reports.document_view(docs)):
         assert "Exchange" not in plan(df) and "Python" not in plan(df)

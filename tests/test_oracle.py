@@ -25,7 +25,7 @@ OWN = {f.__name__ for f in entry_points.QUERIES}
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
-    assert OWN - set(ORACLE) == {"hashed_tf", "tfidf_ml", "word2vec_vectors", "lda_topics"}
+    assert set(ORACLE) >= OWN
 
 
 @pytest.mark.parametrize("name", sorted(OWN & set(ORACLE)))
