@@ -71,7 +71,7 @@ ENTITY_WORDS = {
 
 CLOSED_WORDS = [w for words in CLOSED_CLASS.values() for w in words.split()]
 
-# Default stop words for topic extraction, lower case.
+# Default stop words for topic extraction, lower case.
 STOP_WORDS = (
     "a about above after again against all also am an and any are as at be because "
     "been before being below between both but by can could did do does doing down "

@@ -18,6 +18,7 @@ from quillon.operators import scoring, segment, topics
 from quillon.operators.answering import extract_answers, question_types
 from quillon.operators.joins import MAX_BROADCAST_ROWS, is_small, lookup_join
 from quillon.operators.tfidf import DOCUMENT, SENTENCE
+from quillon.session import stored
 
 
 @dataclass
@@ -59,7 +60,8 @@ class Search:
             questions,
             features,
             matches,
-            scoring.feature_weights(matches),
+            # Written once: the tasks and every block of questions are read off it.
+            stored(scoring.feature_weights(matches), "weights"),
             scoring.sentence_count(matches),
             small,
             None if documents is None else scoring.document_count(documents),
@@ -84,7 +86,7 @@ class Search:
         A document has no bigrams of its own, so only terms count.
         """
         per_document = self.matches.groupBy("doc_id", *scoring.FEATURE).agg(F.sum("n").alias("n"))
-        weights = scoring.feature_weights(per_document)
+        weights = stored(scoring.feature_weights(per_document), "weights")
         return scoring.score(
             self.features,
             per_document,

@@ -5,11 +5,15 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_scope = threading.local()
 
 
 def build_session(app: str = "quillon", master: str | None = None, **conf: str) -> SparkSession:
@@ -64,7 +68,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, the paths that ``scratch_path`` gave out within.
+
+    For a caller who has written or collected its results by then, such as a
+    micro-batch; nothing read from those paths may be used afterwards.
+    """
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        given, _scope.paths = _scope.paths, outer
+        for path in given:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def use_checkpoints(spark: SparkSession) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Eight sample questions in the style of a programming textbook.
+# Eight sample questions in the style of a programming textbook.
 SAMPLE_QUESTIONS = (
     "Why does a recursive function need a base case?",
     "What is a dictionary in a program?",

@@ -1,5 +1,7 @@
 """Whole flows: agreement of the forms, fallbacks, files, models."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -104,10 +106,12 @@ def test_store_and_stream_equal_batch(spark, asked, corpus):
     store = read_store(spark, f"{path}/store")
     assert rows(answer_from_store(asked, store, 5)) == rows(answer_questions(asked, corpus, 5))
     asked.write.parquet(f"{path}/questions")
+    before = sorted(os.listdir(spark.conf.get("spark.checkpoint.dir")))
     for _ in range(2):  # the second run finds nothing new
         answer_stream(
             read_question_stream(spark, f"{path}/questions", 1), store, f"{path}/out", f"{path}/progress"
         ).awaitTermination()
+    assert sorted(os.listdir(spark.conf.get("spark.checkpoint.dir"))) == before
     streamed = spark.read.parquet(f"{path}/out").drop("batch_id")
     assert rows(streamed) == rows(answer_questions(asked, corpus, 1))
     with pytest.raises(FileNotFoundError, match="sentences"):
@@ -173,6 +177,12 @@ def test_nearest_in_many_blocks(frame):
     data[9] = 0.0
     table = frame([(i, v.tolist()) for i, v in enumerate(data)], "name bigint, vector array<double>")
     got = vectors.nearest_vectors(table, table, 3, block_rows=16).collect()
+    assert rows(vectors.nearest_vectors(table, table, 3)) == sorted(map(tuple, [
+        (r.neighbour, r["rank"], r.similarity, r.term) for r in got]), key=repr)
+    none = vectors.nearest_vectors(table.where("name < 0"), table)
+    assert none.count() == 0
+    # Few queries: only the best of each task are shuffled, not the vectors.
+    assert "block" not in plan(vectors.nearest_vectors(table, table, 3))
     norm = np.linalg.norm(data, axis=1)
     sims = np.round(data @ data.T / np.maximum(np.outer(norm, norm), 1e-12), 6)
     for i in range(60):
