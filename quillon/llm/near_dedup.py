@@ -8,11 +8,15 @@ meets under an equal key. With 10 chunks of 5 and one error that guarantees all
 up to a distance of 19 of 50; pairs that meet at up to ``FAR`` are verified too. A pair
 of similarity 0.8 is missed with a probability of about 2e-6.
 
+Pairs under a key are never all made. First every set under a key is paired with the
+smallest one there; pairs near enough are confirmed on their full shingle sets, and
 Pairs under a key are never all made. First every set under a key is paired with the
 smallest one there; pairs near enough are confirmed on their full shingle sets, and
 their components found. Only keys that still hold several components are looked at
-again, in blocks of bounded size, and only pairs across components within ``FAR`` are
-confirmed. What is linked is then exactly what all candidate pairs would link.
+again, in blocks of bounded size that hold the texts: pairs across components within
+``FAR`` are confirmed in place, nearest first, each under its first common key, and only
+links that join two components come out. What is linked is then exactly what all
+candidate pairs would link.
 
 Words are runs of anything but ASCII white space, A-Z in lower case; a set holds the
 distinct shingles of four words (one of all words, if there are fewer). Sets are
@@ -44,7 +48,8 @@ CHUNKS, WIDTH, ERRORS = 10, 5, 1
 VALUES = CHUNKS * WIDTH
 FAR = 25
 PERCENT = 80
-BLOCK = 4_096
+#: Most sets, and shingles, of a block of a key.
+BLOCK, BLOCK_SHINGLES = 2_048, 2_000_000
 
 _RANDOM = np.random.default_rng(1)
 _SLOPES = _RANDOM.integers(0, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -130,7 +135,10 @@ def signatures(documents: DataFrame) -> DataFrame:
 
 
 def index_keys(sets: DataFrame) -> DataFrame:
-    """``key, rep``: each signature under every chunk with one value left out."""
+    """``key, slot, rep``: each signature under every chunk with one value left out.
+
+    ``slot`` tells the chunk and the value, and is part of the key.
+    """
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         values = np.frombuffer(b"".join(batch["sig"].to_pylist()), np.uint16)
@@ -142,11 +150,13 @@ def index_keys(sets: DataFrame) -> DataFrame:
             for at in range(WIDTH - ERRORS):
                 key = _mixed((key << np.uint64(16)) + kept[:, :, at] + np.uint64(_BASE))
             keys.append(key)
-        keys = np.concatenate(keys, 1)
+        keys = np.stack(keys, 2).reshape(len(values), -1)
+        slots = np.tile(np.arange(CHUNKS * WIDTH, dtype=np.int32), len(values))
         reps = np.repeat(batch["rep"].to_numpy(), keys.shape[1])
-        yield pa.record_batch([pa.array(keys.ravel().view(np.int64)), pa.array(reps)], ["key", "rep"])
+        columns = [pa.array(keys.ravel().view(np.int64)), pa.array(slots), pa.array(reps)]
+        yield pa.record_batch(columns, ["key", "slot", "rep"])
 
-    return sets.select("rep", "sig").mapInArrow(each_batch(make), "key bigint, rep bigint")
+    return sets.select("rep", "sig").mapInArrow(each_batch(make), "key bigint, slot int, rep bigint")
 
 
 def _distances(one: list[bytes], two: list[bytes]) -> np.ndarray:
@@ -167,11 +177,16 @@ def _near_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.distinct()
 
 
+def _texts_of(ids: DataFrame, documents: DataFrame) -> DataFrame:
+    """``id, text`` of the documents with one of the ``ids`` (id), written once."""
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("id"), "text")
+    return stored(lookup_join(texts, ids.distinct(), ["id"], "left_semi"), "members")
+
+
 def confirmed(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of documents whose full shingle sets are similar, as ``u, v``."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    wanted = stored(lookup_join(texts, ids, ["id"], "left_semi"), "members")
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    wanted = _texts_of(ids, documents)
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found, last, center = [], None, None
@@ -188,43 +203,82 @@ def confirmed(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(each_batch(make), "u bigint, v bigint")
 
 
-def _across(shared: DataFrame, sets: DataFrame, block: int) -> DataFrame:
-    """Pairs ``a > b`` near enough under a key whose components differ.
-
-    ``shared`` has ``key, n, rep, component`` of keys with several components; a key of
-    ``n`` sets is dealt into blocks, and each two of its blocks meet in one group.
+def _first_common(equal: np.ndarray) -> np.ndarray:
+    """The first slot under which each pair meets, from which of its values are equal."""
+    chunked = equal.reshape(-1, CHUNKS, WIDTH)
+    counts = chunked.sum(2)
+    chunk = (counts >= WIDTH - ERRORS).argmax(1)
+    rows = np.arange(len(equal))
+    return chunk * WIDTH + np.where(counts[rows, chunk] == WIDTH, 0, chunked[rows, chunk].argmin(1))
+
+
+def _joining_links(table: pa.Table) -> pa.Table:
+    """Confirmed links of a block (or two) of a key, each joining two components."""
+    table = table.take(np.argsort(table["rep"].to_numpy(), kind="stable"))
+    reps, own, slot = table["rep"].to_numpy(), table["own"].to_numpy(), table["slot"][0].as_py()
+    _, label = np.unique(table["component"].to_numpy(), return_inverse=True)
+    values = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(-1, VALUES)
+    texts = text_bytes(table["text"].combine_chunks())
+    apart = table["i"][0].as_py() != table["j"][0].as_py()
+    sets: dict[int, np.ndarray] = {}
+
+    def set_of(row: int) -> np.ndarray:
+        if row not in sets:
+            sets[row] = shingle_set(texts[row])
+        return sets[row]
+
+    one, two = [], []
+    for at in range(1, len(reps)):
+        across = label[:at] != label[at]
+        if apart:
+            across &= own[:at] != own[at]
+        rows = np.flatnonzero(across)
+        equal = values[rows] == values[at]
+        distance = VALUES - equal.sum(1)
+        near = np.flatnonzero(distance <= FAR)
+        near = near[_first_common(equal[near]) == slot]
+        for row in rows[near[np.argsort(distance[near], kind="stable")]].tolist():
+            if label[row] != label[at] and similar(set_of(row), set_of(at)):
+                one.append(reps[at])
+                two.append(reps[row])
+                label[label == label[row]] = label[at]
+    return pa.table({"u": pa.array(one, pa.int64()), "v": pa.array(two, pa.int64())})
+
+
+def _across(labelled: DataFrame, sets: DataFrame, documents: DataFrame, block: int) -> DataFrame:
+    """Links between the components of keys that hold several.
+
+    ``labelled`` has ``key, slot, rep, component``. A key is dealt into blocks by its sets
+    and shingles, and each two of its blocks meet in one group.
     """
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    sized = labelled.join(sets.select("rep", "n_shingles"), "rep")
+    blocks = F.greatest(
+        F.ceil(F.count("*") / block), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
+    ).cast("int")
+    mixed = (
+        sized.groupBy("key")
+        .agg(
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            blocks.alias("blocks"),
+        )
+        .where("least != most")
+        .select("key", "blocks")
+    )
+    several = stored(labelled.join(mixed, "key"), "mixed")
+    texts = _texts_of(several.select(F.col("rep").alias("id")), documents)
     others = F.transform(
-        F.sequence(F.lit(0), blocks - 1),
+        F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")),
     )
     dealt = (
-        shared.join(sets.select("rep", "sig"), "rep")
-        .withColumn("own", own)
+        several.join(sets.select("rep", "sig"), "rep")
+        .join(texts.withColumnRenamed("id", "rep"), "rep")
+        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         .withColumn("meets", F.explode(others))
-        .select("key", "meets.i", "meets.j", "own", "rep", "component", "sig")
+        .select("key", "meets.i", "meets.j", "own", "slot", "rep", "component", "sig", "text")
     )
-
-    def make(table: pa.Table) -> pa.Table:
-        order = np.argsort(table["rep"].to_numpy(), kind="stable")
-        table = table.take(order)
-        reps, groups, own = (table[c].to_numpy() for c in ("rep", "component", "own"))
-        values = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(-1, VALUES)
-        apart = table["i"][0].as_py() != table["j"][0].as_py()
-        one, two = [], []
-        for at in range(1, len(reps)):
-            open_ = groups[:at] != groups[at]
-            if apart:
-                open_ &= own[:at] != own[at]
-            rows = np.flatnonzero(open_)
-            near = rows[(values[rows] != values[at]).sum(1) <= FAR]
-            one += [reps[at]] * len(near)
-            two += reps[near].tolist()
-        return pa.table({"a": pa.array(one, pa.int64()), "b": pa.array(two, pa.int64())})
-
-    return dealt.groupBy("key", "i", "j").applyInArrow(make, "a bigint, b bigint").distinct()
+    return dealt.groupBy("key", "i", "j").applyInArrow(_joining_links, "u bigint, v bigint").distinct()
 
 
 def _same_id(named: DataFrame, sets: DataFrame) -> DataFrame:
@@ -244,7 +298,10 @@ def near_groups(documents: DataFrame, block: int = BLOCK) -> DataFrame:
     rows = stored(signatures(documents), "signatures")
     named = rows.where("doc_id is not null and set_digest is not null")
     sets = named.groupBy("set_digest").agg(
-        F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.count("*").alias("copies")
+        F.min("doc_id").alias("rep"),
+        F.first("sig").alias("sig"),
+        F.first("n_shingles").alias("n_shingles"),
+        F.count("*").alias("copies"),
     )
     sets = stored(sets, "sets")
     keys = index_keys(sets)
@@ -257,18 +314,12 @@ def near_groups(documents: DataFrame, block: int = BLOCK) -> DataFrame:
 
     # Keys that hold several components now.
     labelled = shared.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "n", "rep", F.coalesce("component", "rep").alias("component")
-    )
-    mixed = (
-        labelled.groupBy("key")
-        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        .where("least != most")
-        .select("key")
+        "key", "slot", "rep", F.coalesce("component", "rep").alias("component")
     )
-    across = _across(labelled.join(mixed, "key", "left_semi"), sets, block)
-    left = stored(across.join(tried, ["a", "b"], "left_anti"), "pairs")
-    more = stored(confirmed(left, documents), "links")
-    found = components(links.unionByName(more))
+    more = stored(_across(labelled, sets, documents, block), "links")
+    if not more.isEmpty():
+        stars = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        found = components(stars.unionByName(more))
 
     # One row per set whose documents are not just themselves.
     classes = (
