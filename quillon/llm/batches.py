@@ -14,13 +14,19 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 
 def each_batch(
     make: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
+    most_bytes: int | None = None,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A ``mapInArrow`` function from one that turns a batch into batches."""
+    """A ``mapInArrow`` function from one that turns a batch into batches.
+
+    Batches of more than ``most_bytes`` are handed on in parts of about that size.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield from make(batch)
+            parts = 1 if most_bytes is None else 1 + batch.nbytes // most_bytes
+            rows = max(1, -(-batch.num_rows // parts))
+            for start in range(0, batch.num_rows, rows):
+                yield from make(batch.slice(start, rows))
 
     return run
 

@@ -42,7 +42,7 @@ SPACES = frozenset(
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 #: Remembered pieces of a task; beyond, it starts over (memory, not results).
-CACHE_SIZE = 400_000
+CACHE_SIZE = 250_000
 #: Fragments are merged together with others of up to these lengths.
 WIDTHS = (8, 12, 16, 24, 40)
 NO_RANK = 2**40

@@ -32,6 +32,8 @@ from quillon.operators.joins import lookup_join
 WINDOW = 16
 MIN_CHUNK, MAX_CHUNK, BOUNDARY_BITS = 512, 16_384, 11
 DIGEST_BYTES = 16
+#: Text that a Python worker holds at a time, besides the batch it comes from.
+BATCH_BYTES = 8 << 20
 #: Beyond so many colliding digests every document is compared by its text.
 MAX_COLLIDED = 10_000
 
@@ -80,7 +82,9 @@ def chunk_rows(documents: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFr
             ["digest", "chunk"],
         )
 
-    rows = documents.select("text").mapInArrow(each_batch(make), "digest binary, chunk binary")
+    rows = documents.select("text").mapInArrow(
+        each_batch(make, BATCH_BYTES), "digest binary, chunk binary"
+    )
     return rows.distinct()
 
 
@@ -113,7 +117,7 @@ def recipes(
         yield pa.record_batch(columns, ["doc_id", "recipe", "text_sha256"])
 
     return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        each_batch(make), "doc_id bigint, recipe binary, text_sha256 string"
+        each_batch(make, BATCH_BYTES), "doc_id bigint, recipe binary, text_sha256 string"
     )
 
 
