@@ -122,6 +122,7 @@ def _judge(anchor, content, doc, at) -> tuple[np.ndarray, np.ndarray]:
 
 SEGMENT = "anchor bigint, content bigint, doc_id bigint, at bigint, repeat boolean"
 _NAMES = ["anchor", "content", "doc_id", "at", "repeat"]
+_KEPT = ["anchor", "doc_id", "at", "repeat"]
 
 
 def _segment_rows(documents: DataFrame) -> DataFrame:
@@ -167,19 +168,24 @@ def _compare_segments(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_anchors(batches, TOGETHER):
-            anchor, content, doc, at, known = (table[n].to_numpy() for n in _NAMES)
+            known = table["repeat"].to_numpy()
+            if known.any():
+                yield from table.filter(pa.array(known)).select(_KEPT).to_batches()
+                table = table.filter(pa.array(~known))
+            if not len(table):
+                continue
+            anchor, content, doc, at = (table[n].to_numpy() for n in _NAMES[:4])
             first, repeat = _judge(anchor, content, doc, at)
             starts = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
             several = np.add.reduceat(first.astype(np.int64), starts) > 1
             several = np.repeat(several, np.diff(np.append(starts, len(anchor))))
-            repeat = repeat | known
             wanted = repeat | (first & several)
             columns = (anchor[wanted], doc[wanted], at[wanted], repeat[wanted])
-            yield pa.record_batch(
-                [pa.array(c) for c in columns], ["anchor", "doc_id", "at", "repeat"]
-            )
+            yield pa.record_batch([pa.array(c) for c in columns], _KEPT)
 
-    ordered = rows.repartition("anchor").sortWithinPartitions("anchor", "content", "doc_id", "at")
+    # What a batch has found to be a repeat needs no comparison, and goes anywhere.
+    place = F.when(F.col("repeat"), F.xxhash64("doc_id", "at")).otherwise(F.col("anchor"))
+    ordered = rows.repartition(place).sortWithinPartitions("anchor", "content", "doc_id", "at")
     return ordered.mapInArrow(run, "anchor bigint, doc_id bigint, at bigint, repeat boolean")
 
 
