@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from quillon.llm import near_dedup
 from quillon.llm.components import components
@@ -83,7 +84,9 @@ def test_pigeonhole_keys_meet_up_to_the_guaranteed_distance(spark):
     assert all(by_rep[0] & by_rep[number] for number in range(1, 60))
 
 
-def test_chains_and_stars_become_components(spark):
+@pytest.mark.parametrize("together", [500_000, 20])
+def test_chains_and_stars_become_components(spark, monkeypatch, together):
+    monkeypatch.setattr("quillon.llm.components.LINKS_TOGETHER", together)
     links = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(50)] + [(7, 7), (900, 901)]
     random.Random(1).shuffle(links)
     frame = spark.createDataFrame(links, "u bigint, v bigint")
