@@ -11,6 +11,14 @@ around them, and the tags likewise; a weight is the log ratio of the two. Counts
 added up per batch before the shuffle. The ``MAX_FEATURES`` most frequent features
 make the model that extraction broadcasts; any other has weight 0.
 
+Boilerplate elements are those of certain tags and roles, and those whose class or id
+has a part in ``BOILERPLATE_NAMES``. Such a name says nothing on ``html``, ``body``,
+``main``, an article that stands in no other article, or an element around the marked
+main element (a marked one found only inside named elements must be of some size beside
+the rest of the page, or it is a comment or a teaser). Nor does it where it leaves next to nothing: in the marked element, or in
+a page that marks none, the largest named element counts as content when it holds
+``NAMED_SHARE`` of the words outside the other named ones, and so on inside it.
+
 Text: character references decoded, white space inside a block one blank, blocks in
 page order joined by one blank. Headings inside the main text belong to it.
 
@@ -73,12 +81,16 @@ BOILERPLATE_NAMES = frozenset(
     " newsletter subscribe signup login search widget pagination pager copyright".split()
 )
 MAIN_NAMES = frozenset(("main", "articlebody"))
+#: Share of the words from which a named element is the content.
+NAMED_SHARE = 0.9
+#: Words of a marked element inside named ones to the words outside those, from which it counts.
+MARKED_SHARE = 0.25
 
 
 class _Element:
-    __slots__ = ("tag", "features", "main", "side")
+    __slots__ = ("tag", "features", "main", "side", "named", "parent", "words")
 
-    def __init__(self, tag: str, rest: str, inside_main: bool) -> None:
+    def __init__(self, tag: str, rest: str, parent: _Element | None) -> None:
         names, marks = set(), set()
         for key, value in ATTRIBUTE.findall(rest) if rest else ():
             value = value.strip("\"'").lower()
@@ -86,21 +98,91 @@ class _Element:
                 marks.add(value)
             else:
                 names.update(NAME_PARTS.findall(value))
-        self.tag = tag
+        self.tag, self.parent, self.words = tag, parent, 0
         self.features = [f".{name}" for name in sorted(names)]
         if tag not in CONTAINERS:
             self.features.append(tag)
         self.main = tag in ("article", "main") or not marks.isdisjoint(MAIN_NAMES)
         self.side = (
             tag in BOILERPLATE_TAGS
-            or (tag == "header" and not inside_main)
-            or not names.isdisjoint(BOILERPLATE_NAMES)
+            or (tag == "header" and not any(e.main for e in self.ancestors()))
             or not marks.isdisjoint(("navigation", "banner", "complementary", "contentinfo"))
         )
+        self.named = not self.side and not names.isdisjoint(BOILERPLATE_NAMES)
+        if self.named and (tag in ("html", "body") or self.main and not self._in_article()):
+            self.forget_names()
+
+    def ancestors(self) -> Iterator[_Element]:
+        element = self.parent
+        while element is not None:
+            yield element
+            element = element.parent
+
+    def _in_article(self) -> bool:
+        return self.tag == "article" and any(e.tag == "article" for e in self.ancestors())
+
+    def forget_names(self) -> None:
+        """The listed names of this element say nothing about its words."""
+        self.named = False
+        self.features = [f for f in self.features if f[1:] not in BOILERPLATE_NAMES or f[0] != "."]
+
+
+Event = tuple[str, str, tuple[_Element, ...]]
 
 
-def read_page(source: str) -> Iterator[tuple[str, str, tuple[_Element, ...]]]:
+def read_page(source: str) -> list[Event]:
     """(tag or empty, text, open elements) of each tag and text of the page."""
+    made: list[_Element] = []
+    events = list(_read(source, made))
+    if any(element.named for element in made):
+        _judge_names(events, made)
+    return events
+
+
+def _judge_names(events: list[Event], made: list[_Element]) -> None:
+    """Decide which elements with a listed name are boilerplate."""
+    total = 0
+    for tag, text, around in events:
+        if not tag and (words := _words(text)) and not any(e.side for e in around):
+            total += words
+            for element in around:
+                element.words += words
+    marked = [e for e in made if e.main and e.words and not any(a.main for a in e.ancestors())]
+    if marked:
+        # Articles below a named element, such as comments, do not count beside others,
+        # nor where the page has its words elsewhere.
+        above = [[a for a in e.ancestors() if a.named] for e in marked]
+        least = min(len(named) for named in above)
+        marked = [e for e, named in zip(marked, above, strict=True) if len(named) == least]
+        if least:
+            around = {named[-1] for named in above if len(named) == least}
+            elsewhere = total - sum(element.words for element in around)
+            if max(element.words for element in marked) < MARKED_SHARE * elsewhere:
+                marked = []
+        for element in marked:
+            for outer in element.ancestors():
+                if outer.named:
+                    outer.forget_names()
+    regions: dict[_Element | None, int] = {e: e.words for e in marked} or {None: total}
+    released = True
+    while released:
+        released = False
+        inside: dict[_Element | None, list[_Element]] = {}
+        for element in made:
+            if element.named and not any(a.named for a in element.ancestors()):
+                region = next((a for a in element.ancestors() if a in regions), None)
+                if region in regions:
+                    inside.setdefault(region, []).append(element)
+        for region, named in inside.items():
+            largest = max(named, key=lambda e: e.words)
+            others = regions[region] - sum(e.words for e in named)
+            if largest.words and largest.words >= NAMED_SHARE * (largest.words + others):
+                largest.named, regions[largest], released = False, largest.words, True
+    for element in made:
+        element.side |= element.named
+
+
+def _read(source: str, made: list[_Element]) -> Iterator[Event]:
     opened: list[_Element] = []
     around: tuple[_Element, ...] = ()
     for found in TOKEN.finditer(source):
@@ -129,8 +211,8 @@ def read_page(source: str) -> Iterator[tuple[str, str, tuple[_Element, ...]]]:
                     if name not in INLINE:
                         break
             if tag not in VOID:
-                inside = any(element.main for element in opened)
-                opened.append(_Element(tag, found["rest"], inside))
+                opened.append(_Element(tag, found["rest"], opened[-1] if opened else None))
+                made.append(opened[-1])
         around = tuple(opened)
         yield tag, "", around
 

@@ -54,6 +54,37 @@ def test_cases(extractor, source, text):
     assert extractor.extract(source) == text
 
 
+BODY = "<p>" + "word " * 40 + "<p>" + "more " * 40
+TEXT = " ".join(["word"] * 40 + ["more"] * 40)
+ASIDES = "<div class='sidebar'>" + "link " * 20 + "</div><div id=comments><article class=comment>Nice post</article></div>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body class='has-sidebar'><article>{BODY}</article>{ASIDES}</body>",
+        f"<html class='no-cookie'><body class='ad-free'><div>{BODY}</div></body></html>",
+        f"<body><div id='page' class='with-sidebar'><article>{BODY}</article>{ASIDES}</div></body>",
+        f"<body><div id='page' class='with-sidebar'><div class='text'>{BODY}</div>{ASIDES}</div></body>",
+        f"<body><article class='post has-comments'>{BODY}<div class='share'>Tell all</div></article>{ASIDES}</body>",
+        f"<body><main class='search'><div class='widget'><article class='ad'>{BODY}</article></div></main>{ASIDES}",
+        f"<body><div class='search-content'>{BODY}</div>{ASIDES}</body>",
+        f"<body><div class='search-content'>{TEXT}</div>{ASIDES}</body>",
+        f"<body><div role='main' class='menu-open'>{BODY}</div>{ASIDES}</body>",
+        f"<body><article>{BODY}</article><div id='comments'><article>{'reply ' * 200}</article></div></body>",
+    ],
+)
+def test_side_names_on_wrappers_and_articles_lose_nothing(extractor, page):
+    assert extractor.extract(page) == TEXT
+
+
+def test_pages_with_side_names_on_wrappers_are_labelled():
+    page = f"<body class='has-sidebar'><div class='with-ads'><article class='post'>{BODY}</article>{ASIDES}</div></body>"
+    found = html_text.count_features(page)
+    assert found["", False, True] == 80 and found["", False, False] == 22
+    assert found[".post", False, True] == 80 and not found[".sidebar", False, True]
+
+
 def test_nulls_and_empty_tables(spark):
     rows = [(1, None, None, "x"), (None, "u", "<article>a b</article>", "x"), (None, "u", "<article>a b</article>", "x")]
     got = html_text.main_text(spark.createDataFrame(rows, SCHEMA)).collect()
