@@ -15,9 +15,14 @@ Boilerplate elements are those of certain tags and roles, and those whose class
 has a part in ``BOILERPLATE_NAMES``. Such a name says nothing on ``html``, ``body``,
 ``main``, an article that stands in no other article, or an element around the marked
 main element (a marked one found only inside named elements must be of some size beside
-the rest of the page, or it is a comment or a teaser). Nor does it where it leaves next to nothing: in the marked element, or in
-a page that marks none, the largest named element counts as content when it holds
-``NAMED_SHARE`` of the words outside the other named ones, and so on inside it.
+the rest of the page, or it is a comment or a teaser). Nor does it where it leaves next
+to nothing: in the marked element, or in a page that marks none, the largest named
+element counts as content when it holds ``NAMED_SHARE`` of the words outside the other
+named ones, and so on inside it.
+
+A boilerplate element inside a marked one is cut out and costs the region nothing. In a
+page that marks none it costs ``SIDE_BLOCK`` once, however long it is; outside the
+marked elements of a page its words cost as any.
 
 Text: character references decoded, white space inside a block one blank, blocks in
 page order joined by one blank. Headings inside the main text belong to it.
@@ -46,6 +51,8 @@ MAX_FEATURES = 20_000
 #: Words where nothing is known; bounds of a word's and of a tag's score.
 PLAIN_WORD, WORD_BOUND, TAG_MOST, TAG_LEAST = 0.3, 3.0, -0.05, -2.0
 SIDE_BOUND, MAIN_BOUND = 3.0, 12.0
+#: Score of a whole boilerplate element where no element is marked.
+SIDE_BLOCK = -3.0
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -225,6 +232,11 @@ def _features(around: tuple[_Element, ...]) -> set[str]:
     return {feature for element in around for feature in element.features}
 
 
+def _side(around: tuple[_Element, ...]) -> _Element | None:
+    """The outermost boilerplate element."""
+    return next((element for element in around if element.side), None)
+
+
 def count_features(source: str) -> Counter:
     """(feature, is it a tag, is it main text) -> how often, for a labelled page."""
     found: Counter = Counter()
@@ -290,20 +302,27 @@ class Extractor:
         return min(max(self.weights.get((tag, True), 0.0), TAG_LEAST), TAG_MOST)
 
     def extract(self, source: str) -> str:
-        events, best, start, total = [], (0.0, 0, 0), 0, 0.0
+        events, best, start, total = read_page(source), (0.0, 0, 0), 0, 0.0
+        places = {around for _, _, around in events}
+        marked = any(e.main for around in places if not _side(around) for e in around)
         known: dict[tuple[_Element, ...], float] = {}
-        for tag, text, around in read_page(source):
-            if tag:
+        block = None
+        for place, (tag, text, around) in enumerate(events, 1):
+            side = _side(around)
+            if side and (not marked or any(e.main for e in side.ancestors())):
+                if side is not block and not marked:
+                    total += SIDE_BLOCK
+                block = side
+            elif tag:
                 total += self._tag(tag)
             elif words := _words(text):
                 if around not in known:
                     known[around] = self._word(around)
                 total += known[around] * words
-            events.append((tag, text, around))
             if total <= 0:
-                start, total = len(events), 0.0
+                start, total = place, 0.0
             elif total > best[0]:
-                best = (total, start, len(events))
+                best = (total, start, place)
         _, first, last = best
         parts = []
         for tag, text, around in events[first:last]:

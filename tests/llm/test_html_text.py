@@ -85,6 +85,22 @@ def test_pages_with_side_names_on_wrappers_are_labelled():
     assert found[".post", False, True] == 80 and not found[".sidebar", False, True]
 
 
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<div class=text>{}</div>", "<body>{}", "<main>{}</main><p>end"])
+@pytest.mark.parametrize(
+    "side",
+    [
+        "<aside>" + "see " * 60 + "</aside>",
+        "<div class='advert'>" + "<ul><li>buy</ul>" * 90 + "</div>",
+        "<form>" + "<p>name " * 500 + "</form>",
+        "<div class='newsletter'><h2>News</h2>" + "mail " * 400 + "</div><div class='related'>" + "more " * 400 + "</div>",
+    ],
+)
+@pytest.mark.parametrize(("before", "after"), [(40, 300), (300, 40)])
+def test_long_side_blocks_do_not_cut_the_article(extractor, around, side, before, after):
+    page = around.format(f"<p>{'early ' * before}</p>{side}<p>{'late ' * after}</p>")
+    assert extractor.extract(page).removesuffix(" end") == " ".join(["early"] * before + ["late"] * after)
+
+
 def test_nulls_and_empty_tables(spark):
     rows = [(1, None, None, "x"), (None, "u", "<article>a b</article>", "x"), (None, "u", "<article>a b</article>", "x")]
     got = html_text.main_text(spark.createDataFrame(rows, SCHEMA)).collect()
