@@ -8,8 +8,9 @@ The weights are learned from labelled pages: those that mark their main text up
 themselves (``article``, ``main``, ``role=main`` or ``itemprop=articleBody``). Over all
 such pages the words inside and outside the marked element are counted by the elements
 around them, and the tags likewise; a weight is the log ratio of the two. Counts are
-added up per batch before the shuffle. The ``MAX_FEATURES`` most frequent features
-make the model that extraction broadcasts; any other has weight 0.
+added up per batch before the shuffle. Every feature seen has its weight. Up to
+``SHARED_FEATURES`` weights are broadcast; of a larger model the most frequent are, and
+the others are joined to the pages that they occur in. Results do not depend on which.
 
 Boilerplate elements are those of certain tags and roles, and those whose class or id
 has a part in ``BOILERPLATE_NAMES``. Such a name says nothing on ``html``, ``body``,
@@ -38,16 +39,19 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import ChainMap, Counter
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillon.llm.batches import each_batch
+from quillon.operators.joins import lookup_join
+from quillon.session import stored
 
-MAX_FEATURES = 20_000
+#: Weights held in one broadcast.
+SHARED_FEATURES = 200_000
 #: Words where nothing is known; bounds of a word's and of a tag's score.
 PLAIN_WORD, WORD_BOUND, TAG_MOST, TAG_LEAST = 0.3, 3.0, -0.05, -2.0
 SIDE_BOUND, MAIN_BOUND = 3.0, 12.0
@@ -253,8 +257,8 @@ def count_features(source: str) -> Counter:
     return found if labelled else Counter()
 
 
-def learn_weights(pages: DataFrame) -> dict[tuple[str, bool], float]:
-    """Weight of each feature: of the words in an element, or of a tag."""
+def _learned(pages: DataFrame) -> DataFrame:
+    """``feature, is_tag, inside, outside`` of all features of the labelled pages."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
@@ -272,17 +276,59 @@ def learn_weights(pages: DataFrame) -> dict[tuple[str, bool], float]:
     counted = pages.select("html").mapInArrow(
         each_batch(make), "feature string, is_tag boolean, is_main boolean, n bigint"
     )
-    sums = counted.groupBy("feature", "is_tag").agg(
+    return counted.groupBy("feature", "is_tag").agg(
         F.sum(F.when(F.col("is_main"), F.col("n")).otherwise(0)).alias("inside"),
         F.sum(F.when(F.col("is_main"), 0).otherwise(F.col("n"))).alias("outside"),
     )
-    rows = sums.orderBy(F.desc(F.col("inside") + F.col("outside")), "feature", "is_tag")
+
+
+def _weights(rows: Iterable) -> dict[tuple[str, bool], float]:
     return {
         (row["feature"], row["is_tag"]): math.log((row["inside"] + 1) / (row["outside"] + 1))
-        for row in rows.limit(MAX_FEATURES).collect()
+        for row in rows
     }
 
 
+def learn_weights(pages: DataFrame) -> dict[tuple[str, bool], float]:
+    """Weight of each feature: of the words in an element, or of a tag.
+
+    All of them, on the driver; ``main_text`` does without where they are many.
+    """
+    return _weights(_learned(pages).collect())
+
+
+def _with_rare(rows: DataFrame, rare: DataFrame) -> DataFrame:
+    """``rows`` with ``rare``: the weights out of that table that a page needs, or null.
+
+    Pages are known by the digest of their html, so equal pages are looked up once.
+    """
+    key = F.sha2(F.coalesce("html", F.lit("")).cast("binary"), 256)
+
+    def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        keys, features, tags = [], [], []
+        for at, source in zip(batch["page"].to_pylist(), batch["html"], strict=True):
+            events = read_page(source.as_py() or "")
+            found = {(tag, True) for tag, _, _ in events if tag}
+            found |= {(f, False) for around in {e[2] for e in events} for f in _features(around)}
+            keys += [at] * len(found)
+            features += [feature for feature, _ in found]
+            tags += [is_tag for _, is_tag in found]
+        columns = [pa.array(keys, pa.string()), pa.array(features, pa.string()), pa.array(tags, pa.bool_())]
+        yield pa.record_batch(columns, ["page", "feature", "is_tag"])
+
+    needed = rows.select(key.alias("page"), "html").mapInArrow(
+        each_batch(make), "page string, feature string, is_tag boolean"
+    )
+    found = (
+        lookup_join(needed, rare, ["feature", "is_tag"], "inner", [F.col("page")])
+        .groupBy("page")
+        .agg(F.collect_set(F.struct("feature", "is_tag", "inside", "outside")).alias("rare"))
+    )
+    keyed = rows.withColumn("page", key)
+    spread = [F.col("page_id"), F.col("url")]
+    return lookup_join(keyed, found, ["page"], "left", spread, small=False).drop("page")
+
+
 class Extractor:
     """Scores pages with learned weights."""
 
@@ -333,18 +379,34 @@ class Extractor:
         return " ".join("".join(parts).split())
 
 
-def main_text(pages: DataFrame, weights: dict[tuple[str, bool], float] | None = None) -> DataFrame:
+def main_text(
+    pages: DataFrame,
+    weights: dict[tuple[str, bool], float] | None = None,
+    shared_features: int = SHARED_FEATURES,
+) -> DataFrame:
     """``page_id, url, text, n_chars`` of each row; learns from ``pages`` unless given weights."""
-    model = Extractor(learn_weights(pages) if weights is None else weights)
-    shared = pages.sparkSession.sparkContext.broadcast(model)
+    rows = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), "html")
+    if weights is None:
+        learned = stored(_learned(pages), "weights")
+        if learned.count() > shared_features:
+            order = [F.desc(F.col("inside") + F.col("outside")), "feature", "is_tag"]
+            often = stored(learned.orderBy(*order).limit(shared_features), "often")
+            rare = learned.join(often, ["feature", "is_tag"], "left_anti")
+            rows, learned = _with_rare(rows, rare), often
+        weights = _weights(learned.collect())
+    shared = pages.sparkSession.sparkContext.broadcast(weights)
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts = [shared.value.extract(source.as_py() or "") for source in batch["html"]]
+        own = batch["rare"].to_pylist() if "rare" in batch.schema.names else [None] * batch.num_rows
+        plain = Extractor(shared.value)
+        texts = [
+            (Extractor(ChainMap(_weights(rare), shared.value)) if rare else plain).extract(source.as_py() or "")
+            for source, rare in zip(batch["html"], own, strict=True)
+        ]
         sizes = pa.array([len(text) for text in texts], pa.int64())
         columns = [batch["page_id"], batch["url"], pa.array(texts, pa.string()), sizes]
         yield pa.record_batch(columns, ["page_id", "url", "text", "n_chars"])
 
-    rows = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), "html")
     return rows.mapInArrow(
         each_batch(make), "page_id bigint, url string, text string, n_chars bigint"
     )

@@ -101,6 +101,30 @@ def test_long_side_blocks_do_not_cut_the_article(extractor, around, side, before
     assert extractor.extract(page).removesuffix(" end") == " ".join(["early"] * before + ["late"] * after)
 
 
+def test_rare_features_keep_their_weights(spark):
+    def page(i):
+        names = f"c{chr(97 + i % 26)}{chr(97 + i // 26)}"
+        return f"<div class=x{names}>side words here</div><article><div class={names}>{i} main</div></article>"
+
+    rows = [(i, f"u{i}", page(i), "") for i in range(60)]
+    plain = "<div class=xcaa>side words here</div><div class=caa>text of the page</div>"
+    rows += [(100, "a", plain, ""), (100, "a", plain, ""), (None, None, plain, ""), (101, None, None, "")]
+    pages = spark.createDataFrame(rows, SCHEMA)
+    whole = sorted(map(str, html_text.main_text(pages).collect()))
+    assert sum("text of the page" in row and "side" not in row for row in whole) == 3
+    for shared_features in (0, 1, 20):
+        assert sorted(map(str, html_text.main_text(pages, None, shared_features).collect())) == whole
+
+
+def test_all_features_are_learned(spark):
+    def name(i):
+        return "".join(chr(97 + i // 26**k % 26) for k in range(4))
+
+    body = "".join(f"<i class={name(i)}>w</i>" for i in range(25_000))
+    pages = spark.createDataFrame([(1, "u", f"<article>{body}</article>", "")], SCHEMA)
+    assert len(html_text.learn_weights(pages)) >= 25_000
+
+
 def test_nulls_and_empty_tables(spark):
     rows = [(1, None, None, "x"), (None, "u", "<article>a b</article>", "x"), (None, "u", "<article>a b</article>", "x")]
     got = html_text.main_text(spark.createDataFrame(rows, SCHEMA)).collect()
