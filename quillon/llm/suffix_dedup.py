@@ -21,8 +21,12 @@ or more are equal strings, and all but the first of each are repeats. The sequen
 external files of the method are Spark's sorted shuffle files: a task reads its
 anchors in order, some thousand segments at a time, and inserts in memory.
 
-An anchor with more than ``HOT`` different segments is not one group: its strings are
-grouped by their own content, which combines before the shuffle.
+Segments are compared as they stream by in the order of anchor, content and place: only
+the row that began the current content, and the first row of an anchor until a second
+content shows, are held, so a common anchor needs no memory. An anchor with more than
+``HOT`` different segments is not one group in the column step: its strings are grouped
+by their own content, which combines before the shuffle, and those that occur more than
+once are joined back with a salt.
 
 Cases: null text counts as empty. Rows with a null ``doc_id`` lose nothing and give no
 string to others. Of rows that share a ``doc_id`` the one with the largest text stands,
@@ -163,30 +167,48 @@ def _whole_anchors(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa
         yield pa.Table.from_batches(waiting)
 
 
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``_compare_segments`` gives, of sorted rows; holds one batch and two rows."""
+    # The row that began the last content, and whether it waits for a second content.
+    began: tuple[int, int, int, int] | None = None
+    waits = False
+    for batch in batches:
+        known = batch["repeat"].to_numpy(zero_copy_only=False)
+        if known.any():
+            repeats = batch.filter(pa.array(known))
+            yield pa.record_batch([repeats[name] for name in _KEPT], _KEPT)
+            batch = batch.filter(pa.array(~known))
+        if not batch.num_rows:
+            continue
+        columns = [batch[name].to_numpy() for name in _NAMES[:4]]
+        if began is not None:
+            columns = [np.append(np.int64(b), c) for b, c in zip(began, columns, strict=True)]
+        anchor, content, doc, at = columns
+        first, repeat = _judge(anchor, content, doc, at)
+        starts = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+        several = np.add.reduceat(first.astype(np.int64), starts) > 1
+        if began is not None and not waits:
+            several[0] = True
+        wanted = repeat | (first & np.repeat(several, np.diff(np.append(starts, len(anchor)))))
+        if began is not None and not waits:
+            wanted[0] = False  # handed on before
+        last = np.flatnonzero(first)[-1]
+        began, waits = tuple(int(c[last]) for c in columns), not several[-1]
+        if wanted.any():
+            yield pa.record_batch(
+                [pa.array(c[wanted]) for c in (anchor, doc, at, repeat)], _KEPT
+            )
+
+
 def _compare_segments(rows: DataFrame) -> DataFrame:
     """Repeated segments, and (``repeat`` false) firsts whose anchor has other segments too."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_anchors(batches, TOGETHER):
-            known = table["repeat"].to_numpy()
-            if known.any():
-                yield from table.filter(pa.array(known)).select(_KEPT).to_batches()
-                table = table.filter(pa.array(~known))
-            if not len(table):
-                continue
-            anchor, content, doc, at = (table[n].to_numpy() for n in _NAMES[:4])
-            first, repeat = _judge(anchor, content, doc, at)
-            starts = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-            several = np.add.reduceat(first.astype(np.int64), starts) > 1
-            several = np.repeat(several, np.diff(np.append(starts, len(anchor))))
-            wanted = repeat | (first & several)
-            columns = (anchor[wanted], doc[wanted], at[wanted], repeat[wanted])
-            yield pa.record_batch([pa.array(c) for c in columns], _KEPT)
-
     # What a batch has found to be a repeat needs no comparison, and goes anywhere.
     place = F.when(F.col("repeat"), F.xxhash64("doc_id", "at")).otherwise(F.col("anchor"))
     ordered = rows.repartition(place).sortWithinPartitions("anchor", "content", "doc_id", "at")
-    return ordered.mapInArrow(run, "anchor bigint, doc_id bigint, at bigint, repeat boolean")
+    return ordered.mapInArrow(
+        _compared, "anchor bigint, doc_id bigint, at bigint, repeat boolean"
+    )
 
 
 def _with_bytes(firsts: DataFrame, documents: DataFrame) -> DataFrame:
@@ -316,9 +338,20 @@ def _group_strings(rows: DataFrame) -> DataFrame:
         yield pa.record_batch(columns, ["string", "doc_id", "start"])
 
     strings = rows.mapInArrow(each_batch(make), "string binary, doc_id bigint, start bigint")
-    firsts = strings.groupBy("string").agg(F.min(F.struct("doc_id", "start")).alias("first"))
+    several = stored(
+        strings.groupBy("string")
+        .agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n"))
+        .where("n > 1")
+        .drop("n"),
+        "strings",
+    )
     later = F.struct("doc_id", "start") != F.col("first")
-    return strings.join(firsts, "string").where(later).select("doc_id", "start", F.lit(1).cast("bigint").alias("n"))
+    spread = [F.col("doc_id"), F.col("start")]
+    return (
+        lookup_join(strings, several, ["string"], "inner", spread)
+        .where(later)
+        .select("doc_id", "start", F.lit(1).cast("bigint").alias("n"))
+    )
 
 
 def _one_row_per_id(documents: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ def is_small(
     """
     width = F.lit(0)
     for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
+        if isinstance(field.dataType, T.StringType | T.BinaryType):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
         elif isinstance(field.dataType, T.ArrayType):
             width = width + 16 * F.greatest(F.size(field.name), F.lit(0))

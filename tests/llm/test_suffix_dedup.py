@@ -2,8 +2,10 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from quillon.llm import suffix_dedup
+from quillon.operators import joins
 
 
 def _brute(rows):
@@ -48,6 +50,66 @@ def test_anchors_of_many_segments_are_split(docs):
     assert _result(suffix_dedup.removed_repeats(docs(rows), hot=2)) == _brute(rows)
 
 
+def _segment_batches(rows, size):
+    for start in range(0, len(rows), size):
+        columns = zip(*rows[start : start + size], strict=True)
+        yield pa.record_batch([pa.array(list(c)) for c in columns], suffix_dedup._NAMES)
+
+
+def test_segments_are_compared_in_a_stream():
+    # A common anchor of 50,000 segments, each content twice.
+    rows = [(7, i // 2, i, 128, False) for i in range(50_000)]
+    taken, given, most = 0, 0, 0
+
+    def feed():
+        nonlocal taken
+        for batch in _segment_batches(rows, 1_000):
+            taken += batch.num_rows
+            yield batch
+
+    for batch in suffix_dedup._compared(feed()):
+        given += batch.num_rows
+        most = max(most, taken - given)
+    assert given == 50_000 and most <= 1_001
+
+
+def test_batch_borders_do_not_change_what_is_compared():
+    rng = random.Random(8)
+    rows = sorted(
+        (rng.randint(0, 12), rng.randint(0, 3), rng.randint(0, 9), 128 * rng.randint(1, 2), False) for _ in range(120)
+    )
+    marked = [(*row[:4], rng.random() < 0.2 and i > 0 and row[:2] == rows[i - 1][:2]) for i, row in enumerate(rows)]
+    contents = {}
+    for anchor, content, *_ in rows:
+        contents.setdefault(anchor, set()).add(content)
+    begun, expected = {}, []
+    for anchor, content, doc, at, known in marked:
+        if known:
+            expected.append((anchor, doc, at, True))
+        elif (anchor, content) not in begun:
+            begun[anchor, content] = doc, at
+            if len(contents[anchor]) > 1:
+                expected.append((anchor, doc, at, False))
+        elif begun[anchor, content] != (doc, at):
+            expected.append((anchor, doc, at, True))
+    for size in (1, 2, 3, 7, 50, 200):
+        found = [
+            tuple(row[name] for name in suffix_dedup._KEPT)
+            for batch in suffix_dedup._compared(_segment_batches(marked, size))
+            for row in batch.to_pylist()
+        ]
+        assert sorted(found) == sorted(expected)
+
+
+def test_strings_of_common_anchors_join_with_a_salt(docs, monkeypatch):
+    monkeypatch.setattr(joins, "is_small", lambda df: False)
+    rows = [(i, "xyz " * 5 + "the same passage of text in many documents " * 3 + f"{i:03}" * 30) for i in range(40)]
+    assert _result(suffix_dedup.removed_repeats(docs(rows), hot=2)) == _brute(rows)
+    pieces = docs([(1, "a")]).selectExpr("1L as anchor", "doc_id", "0L as at", "cast(repeat('ab', 60) as binary) as piece")
+    plan = suffix_dedup._group_strings(pieces)._jdf.queryExecution().toString()
+    assert "salt" in plan
+
+
 def test_long_texts_are_looked_at_in_overlapping_pieces(docs, monkeypatch):
     rng = random.Random(6)
     piece = "".join(rng.choice("abcdefgh") for _ in range(400))
