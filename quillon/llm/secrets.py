@@ -5,9 +5,11 @@ access identifier) and ``hex`` (a long hexadecimal run). Four weak kinds mean li
 alone: ``ident`` (a short access identifier), ``opaque`` (a long mixed token),
 ``shorthex`` and ``endpoint`` (a URL). Every part has a role: identifier, secret or
 endpoint. Parts of a document are interval-joined within a scope (a paragraph, and
-``REACH`` code points around the part): a weak part is reported when a strong part of
-another role lies there, or weak parts of both other roles, and it does not overlap
-a strong one. The join is a range frame of a window, so no pairs are made.
+``REACH`` code points before and after the part, so that the gap between two parts
+counts and not their length): a weak part is reported when a strong part of another
+role lies there, or weak parts of both other roles, and it does not overlap a strong
+one. The join is a running nearest start and end in either direction, so no pairs are
+made.
 
 Places are code points, the end exclusive. Matches of a kind are the leftmost that
 do not overlap; one that is too short is dropped but has taken its characters.
@@ -108,10 +110,18 @@ def linked(found: DataFrame, reach: int = REACH) -> DataFrame:
         .withColumn("strong", strong)
         .withColumn("scope", F.coalesce(F.sum((role == "scope").cast("int")).over(in_order), F.lit(0)))
     )
-    near = Window.partitionBy("row", "scope").orderBy("start").rangeBetween(-reach, reach)
+    of_scope = Window.partitionBy("row", "scope")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    before = of_scope.orderBy("start").rangeBetween(*so_far)
+    after = of_scope.orderBy(F.desc("start")).rangeBetween(*so_far)
 
     def there(condition: Column) -> Column:
-        return F.coalesce(F.max(condition.cast("int")).over(near), F.lit(0)) == 1
+        """Whether such a part overlaps this one or stands within reach of it."""
+        ended = F.max(F.when(condition, F.col("end"))).over(before)
+        begins = F.min(F.when(condition, F.col("start"))).over(after)
+        return F.coalesce(ended >= F.col("start") - reach, F.lit(False)) | F.coalesce(
+            begins <= F.col("end") + reach, F.lit(False)
+        )
 
     here = {r: there(F.col("role") == r) for r in ROLES}
     firm = {r: there((F.col("role") == r) & F.col("strong")) for r in ROLES}
