@@ -1,7 +1,7 @@
 """A training-data pipeline over ``documents``.
 
 Each stage reads all that its predecessor kept, as Parquet below the shared folder, and
-its decisions take effect: documents without a language go, of equal texts one stays, of
+its decisions take effect: documents without a language go, of equal texts one row stays, of
 each group of near duplicates one stays, the rest are sampled to target weights, and
 what is left is encoded and decoded. All but the last stage return the columns of
 ``documents``.
@@ -23,7 +23,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.keep_first_copies(docs)
+    return exact_dedup.keep_first_copies(docs, single=True)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from quillon.llm.batches import each_batch, text_bytes
 from quillon.operators.joins import lookup_join
+from quillon.session import stored
 
 WINDOW = 16
 MIN_CHUNK, MAX_CHUNK, BOUNDARY_BITS = 512, 16_384, 11
@@ -147,8 +148,12 @@ def exact_groups(documents: DataFrame, digest_bytes: int = DIGEST_BYTES) -> Data
     )
 
 
-def keep_first_copies(documents: DataFrame) -> DataFrame:
-    """The rows of ``documents`` whose text stays, with all their columns."""
+def keep_first_copies(documents: DataFrame, single: bool = False) -> DataFrame:
+    """The rows of ``documents`` whose text stays, with all their columns.
+
+    Rows of one text that share the id that stays, or where all ids are null, all stay,
+    or with ``single`` any one of them.
+    """
     kept = exact_groups(documents).where("kept")
     ids = kept.select(
         F.coalesce("doc_id", F.lit(-1)).alias("__id"),
@@ -160,4 +165,14 @@ def keep_first_copies(documents: DataFrame) -> DataFrame:
         & (documents["doc_id"].isNull() == F.col("__none"))
         & (F.sha2(F.coalesce(documents["text"], F.lit("")).cast("binary"), 256) == F.col("__sha"))
     )
-    return documents.join(ids, same, "left_semi")
+    if not single:
+        return documents.join(ids, same, "left_semi")
+    keys = ["__id", "__none", "__sha"]
+    ids = stored(ids.groupBy(*keys).agg((F.count("*") > 1).alias("__several")), "kept")
+    one = documents.join(ids.where("not __several"), same, "left_semi")
+    several = ids.where("__several")
+    if several.isEmpty():
+        return one
+    row = F.struct(*[documents[name] for name in documents.columns]).alias("row")
+    found = documents.join(several, same).select(*keys, row)
+    return one.unionByName(found.groupBy(*keys).agg(F.first("row").alias("row")).select("row.*"))

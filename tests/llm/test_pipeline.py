@@ -103,3 +103,11 @@ def test_stages_keep_the_columns(spark, docs):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, frame, "").columns == frame.columns
         assert stage(spark, frame.limit(0), "").count() == 0
+
+
+def test_one_row_of_each_text_stays(spark, docs):
+    rows = [(1, "a b"), (1, "a b"), (0, "a b"), (None, "c"), (None, "c"), (None, "d"), (2, "d"), (3, None), (3, ""), (4, "e")]
+    got = corpus_pipeline.drop_exact_copies(spark, docs(rows), "")
+    assert got.columns == docs(rows).columns
+    kept = sorted(((r.doc_id, r.text or "") for r in got.collect()), key=repr)
+    assert kept == sorted([(1, "a b"), (None, "c"), (2, "d"), (3, ""), (4, "e")], key=repr)
