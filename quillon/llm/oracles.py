@@ -205,3 +205,80 @@ FROM docs JOIN final USING (source, lang, topic)
 
 
 SOURCE_MIXING = _source_mixing(10, 0.7, 0.6)
+
+
+def _field(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _leaf(text: str) -> str:
+    fields = [_field(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    return f"sha256({' || '.join([*fields, _field(text)])})"
+
+
+#: CRC-32 of a number's decimal form, bit by bit.
+_CRC = """xor(list_reduce([4294967295::BIGINT] || list_transform(
+    string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT),
+    lambda crc, c: list_reduce([xor(crc, c)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, z: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT)"""
+
+
+def _climbed(name: str, start: str) -> str:
+    """All levels of the trees in ``start(tree, place, node, size)``."""
+    return f"""{name}(level, tree, place, node, size) AS (
+  SELECT 0, tree, place, node, size FROM {start}
+  UNION ALL
+  SELECT any_value(level) + 1, tree, place // 8, sha256(string_agg(node, '' ORDER BY place)),
+         any_value((size + 7) // 8)
+  FROM {name} WHERE size > 1 GROUP BY tree, place // 8)"""
+
+
+#: The siblings on each level of a leaf's path, to the left and right, folded into it.
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE base AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf("text")} AS node,
+         CASE WHEN coalesce({_CRC} % 3 = 0, false)
+           THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+           ELSE {_leaf("text")} END AS again
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (ORDER BY tree, doc_id NULLS FIRST, node) AS row,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, node) - 1 AS place,
+         count(*) OVER (PARTITION BY tree) AS size FROM base),
+{_climbed("trees", "leaves")},
+tops AS (
+  SELECT '' AS tree, tree AS lang, row_number() OVER (ORDER BY tree) - 1 AS place, node,
+         count(*) OVER () AS size
+  FROM trees WHERE size = 1),
+{_climbed("upper", "tops")},
+nodes AS (
+  SELECT level, 'lang' || tree AS tree, place, node, size FROM trees
+  UNION ALL SELECT 1000 + level, 'top', place, node, size FROM upper),
+beside AS (
+  SELECT a.level, a.tree, a.place,
+         coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (WHERE b.place < a.place), '') AS lhs,
+         coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (WHERE b.place > a.place), '') AS rhs
+  FROM nodes a JOIN nodes b
+    ON a.level = b.level AND a.tree = b.tree AND a.place // 8 = b.place // 8
+  WHERE a.size > 1 GROUP BY ALL),
+levels AS (SELECT DISTINCT level, tree FROM nodes WHERE size > 1),
+path AS (
+  SELECT row, level, levels.tree, place >> (3 * level) AS place
+  FROM leaves JOIN levels ON levels.tree = 'lang' || leaves.tree
+  UNION ALL
+  SELECT row, level, 'top', tops.place >> (3 * (level - 1000))
+  FROM leaves JOIN tops ON tops.lang = leaves.tree JOIN levels ON levels.tree = 'top'),
+proofs AS (
+  SELECT row, string_agg(lhs || rhs, '' ORDER BY level) AS proof,
+         list(lhs || '|' || rhs ORDER BY level) AS pairs
+  FROM path JOIN beside USING (level, tree, place) GROUP BY row),
+proved AS (
+  SELECT l.doc_id, l.node AS leaf, tops.node AS subroot,
+         (SELECT node FROM upper WHERE size = 1) AS root,
+         sha256(coalesce(proof, '')) AS proof_sha256,
+         list_reduce([again] || coalesce(pairs, []),
+           lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2))) AS folded_root
+  FROM leaves l LEFT JOIN proofs USING (row) JOIN tops ON tops.lang = l.tree)
+SELECT *, folded_root = root AS verified FROM proved
+"""

@@ -10,10 +10,13 @@ from quillon.llm import (
     exact_dedup,
     html_text,
     language,
+    manifest,
     mixing,
     near_dedup,
     nearest,
     oracles,
+    periodic,
+    quality,
     secrets,
     suffix_dedup,
     token_counts,
@@ -74,6 +77,18 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.secret_spans(_documents(spark, sf))
 
 
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return periodic.periodic_runs(_documents(spark, sf), plant=True)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return manifest.manifest(_documents(spark, sf))
+
+
+def op13_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_scores(_documents(spark, sf), _table(spark, sf, "labels"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -85,6 +100,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 ORACLE_SQL = {
     "op1_near_dedup": oracles.NEAR_DEDUP,
@@ -92,4 +110,5 @@ ORACLE_SQL = {
     "op8_exact_dedup": oracles.EXACT_DEDUP,
     "op9_suffix_dedup": oracles.SUFFIX_DEDUP,
     "op10_secret_scan": oracles.SECRET_SCAN,
+    "op12_merkle_manifest": oracles.MERKLE_MANIFEST,
 }
