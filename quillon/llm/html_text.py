@@ -12,8 +12,10 @@ added up per batch before the shuffle. Every feature seen has its weight. Up to
 ``SHARED_FEATURES`` weights are broadcast; of a larger model the most frequent are, and
 the others are joined to the pages that they occur in. Results do not depend on which.
 
-Boilerplate elements are those of certain tags and roles, and those whose class or id
-has a part in ``BOILERPLATE_NAMES``. Such a name says nothing on ``html``, ``body``,
+Boilerplate elements are those of certain tags and roles, and those with a class or id
+all of whose parts are in ``BOILERPLATE_NAMES`` ("cookie-notice", not "related-work");
+of elements inside a marked one only the class counts, as an id there is the slug of a
+heading. Any other name is a feature with a learned weight, no more. Such a name says nothing on ``html``, ``body``,
 ``main``, an article that stands in no other article, or an element around the marked
 main element (a marked one found only inside named elements must be of some size beside
 the rest of the page, or it is a comment or a teaser). Nor does it where it leaves next
@@ -99,162 +101,225 @@ MARKED_SHARE = 0.25
 
 
 class _Element:
-    __slots__ = ("tag", "features", "main", "side", "named", "parent", "words")
+    """An open element; what its ancestors decide for it is inherited when it is made."""
+
+    __slots__ = (
+        "tag", "parent", "features", "main", "side", "named", "in_main", "in_article",
+        "direct", "words", "outer_side", "score",
+    )
 
     def __init__(self, tag: str, rest: str, parent: _Element | None) -> None:
-        names, marks = set(), set()
+        classes, ids, marks = [], [], set()
         for key, value in ATTRIBUTE.findall(rest) if rest else ():
-            value = value.strip("\"'").lower()
+            tokens = [NAME_PARTS.findall(t) for t in value.strip("\"'").lower().split()]
             if key.lower() in ("role", "itemprop"):
-                marks.add(value)
+                marks.update(value.strip("\"'").lower().split())
             else:
-                names.update(NAME_PARTS.findall(value))
-        self.tag, self.parent, self.words = tag, parent, 0
-        self.features = [f".{name}" for name in sorted(names)]
-        if tag not in CONTAINERS:
+                (ids if key.lower() == "id" else classes).extend(t for t in tokens if t)
+        self.tag, self.parent = tag, parent
+        self.features = sorted({f".{'-'.join(parts)}" for parts in (*classes, *ids)})
+        if tag and tag not in CONTAINERS:
             self.features.append(tag)
         self.main = tag in ("article", "main") or not marks.isdisjoint(MAIN_NAMES)
+        in_main, in_article = (parent.in_main, parent.in_article) if parent else (False, False)
         self.side = (
             tag in BOILERPLATE_TAGS
-            or (tag == "header" and not any(e.main for e in self.ancestors()))
+            or (tag == "header" and not in_main)
             or not marks.isdisjoint(("navigation", "banner", "complementary", "contentinfo"))
         )
-        self.named = not self.side and not names.isdisjoint(BOILERPLATE_NAMES)
-        if self.named and (tag in ("html", "body") or self.main and not self._in_article()):
+        # An id inside a marked element is as a rule the slug of a heading.
+        names = classes if in_main else classes + ids
+        self.named = not self.side and any(BOILERPLATE_NAMES.issuperset(parts) for parts in names)
+        if self.named and (tag in ("html", "body") or self.main and not (tag == "article" and in_article)):
             self.forget_names()
-
-    def ancestors(self) -> Iterator[_Element]:
-        element = self.parent
-        while element is not None:
-            yield element
-            element = element.parent
-
-    def _in_article(self) -> bool:
-        return self.tag == "article" and any(e.tag == "article" for e in self.ancestors())
+        self.in_main, self.in_article = in_main or self.main, in_article or tag == "article"
+        #: Words of its own, and of all below it that are in no element set aside by its tag.
+        self.direct = self.words = 0
+        self.outer_side: _Element | None = None
+        self.score = 0.0
 
     def forget_names(self) -> None:
         """The listed names of this element say nothing about its words."""
         self.named = False
-        self.features = [f for f in self.features if f[1:] not in BOILERPLATE_NAMES or f[0] != "."]
-
-
-Event = tuple[str, str, tuple[_Element, ...]]
-
-
-def read_page(source: str) -> list[Event]:
-    """(tag or empty, text, open elements) of each tag and text of the page."""
-    made: list[_Element] = []
-    events = list(_read(source, made))
-    if any(element.named for element in made):
-        _judge_names(events, made)
-    return events
-
-
-def _judge_names(events: list[Event], made: list[_Element]) -> None:
-    """Decide which elements with a listed name are boilerplate."""
-    total = 0
-    for tag, text, around in events:
-        if not tag and (words := _words(text)) and not any(e.side for e in around):
-            total += words
-            for element in around:
-                element.words += words
-    marked = [e for e in made if e.main and e.words and not any(a.main for a in e.ancestors())]
-    if marked:
-        # Articles below a named element, such as comments, do not count beside others,
-        # nor where the page has its words elsewhere.
-        above = [[a for a in e.ancestors() if a.named] for e in marked]
-        least = min(len(named) for named in above)
-        marked = [e for e, named in zip(marked, above, strict=True) if len(named) == least]
-        if least:
-            around = {named[-1] for named in above if len(named) == least}
-            elsewhere = total - sum(element.words for element in around)
-            if max(element.words for element in marked) < MARKED_SHARE * elsewhere:
-                marked = []
-        for element in marked:
-            for outer in element.ancestors():
-                if outer.named:
-                    outer.forget_names()
-    regions: dict[_Element | None, int] = {e: e.words for e in marked} or {None: total}
-    released = True
-    while released:
-        released = False
-        inside: dict[_Element | None, list[_Element]] = {}
-        for element in made:
-            if element.named and not any(a.named for a in element.ancestors()):
-                region = next((a for a in element.ancestors() if a in regions), None)
-                if region in regions:
-                    inside.setdefault(region, []).append(element)
-        for region, named in inside.items():
-            largest = max(named, key=lambda e: e.words)
-            others = regions[region] - sum(e.words for e in named)
-            if largest.words and largest.words >= NAMED_SHARE * (largest.words + others):
-                largest.named, regions[largest], released = False, largest.words, True
-    for element in made:
-        element.side |= element.named
+        self.features = [
+            f for f in self.features if f[0] != "." or not BOILERPLATE_NAMES.issuperset(f[1:].split("-"))
+        ]
+
+
+Event = tuple[str, str, _Element]
+
+
+class Page:
+    """The tags and texts of a page, each with the innermost open element.
+
+    ``elements`` holds every element after its parent, the first being the page itself.
+    Reading and judging take time in proportion to the page, however deep it nests.
+    """
+
+    def __init__(self, source: str) -> None:
+        self.elements = [_Element("", "", None)]
+        self.events: list[Event] = list(_read(source, self.elements))
+        if any(element.named for element in self.elements):
+            self._judge_names()
+        for element in self.elements[1:]:
+            above = element.parent.outer_side
+            element.outer_side = above or (element if element.side else None)
+
+    def _judge_names(self) -> None:
+        """Decide which elements with a listed name are boilerplate."""
+        elements = self.elements
+        aside = {}
+        for element in elements:
+            aside[element] = element.side or (element.parent is not None and aside[element.parent])
+        for tag, text, element in self.events:
+            if not tag and not aside[element]:
+                element.words += _words(text)
+        for element in reversed(elements[1:]):
+            element.parent.words += element.words
+        total = elements[0].words
+        # Per element, above it: the outermost named one, and how many.
+        outermost: dict[_Element, _Element | None] = {elements[0]: None}
+        count = {elements[0]: 0}
+        for element in elements[1:]:
+            above = element.parent
+            outermost[element] = outermost[above] or (above if above.named else None)
+            count[element] = count[above] + above.named
+        marked = [e for e in elements[1:] if e.main and e.words and not e.parent.in_main]
+        if marked:
+            # Articles below a named element, such as comments, do not count beside others,
+            # nor where the page has its words elsewhere.
+            least = min(count[e] for e in marked)
+            marked = [e for e in marked if count[e] == least]
+            if least:
+                elsewhere = total - sum(e.words for e in {outermost[e] for e in marked})
+                if max(e.words for e in marked) < MARKED_SHARE * elsewhere:
+                    marked = []
+            seen = set()
+            for element in marked:
+                outer = element.parent
+                while outer is not None and outer not in seen:
+                    seen.add(outer)
+                    if outer.named:
+                        outer.forget_names()
+                    outer = outer.parent
+        self._release_names({e: e.words for e in marked} or {elements[0]: total})
+        for element in elements:
+            element.side |= element.named
+
+    def _release_names(self, regions: dict[_Element, int]) -> None:
+        """Named elements that hold nearly all words of their region are content."""
+        inside: dict[_Element, list[_Element]] = {}
+        # The innermost region or named element above; no region below None.
+        above: dict[_Element, _Element | None] = {self.elements[0]: None}
+        for element in self.elements:
+            if element.parent is not None:
+                parent = element.parent
+                above[element] = parent if parent.named or parent in regions else above[parent]
+            if element.named and element not in regions and above[element] is not None:
+                inside.setdefault(above[element], []).append(element)
+        todo = list(regions.items())
+        while todo:
+            region, words = todo.pop()
+            named = inside.get(region)
+            if named:
+                largest = max(named, key=lambda e: e.words)
+                others = words - sum(e.words for e in named)
+                if largest.words and largest.words >= NAMED_SHARE * (largest.words + others):
+                    largest.named = False
+                    todo.append((largest, largest.words))
+
+
+def read_page(source: str) -> Page:
+    """(tag or empty, text, innermost open element) of each tag and text of the page."""
+    return Page(source)
 
 
 def _read(source: str, made: list[_Element]) -> Iterator[Event]:
-    opened: list[_Element] = []
-    around: tuple[_Element, ...] = ()
+    opened = [made[0]]
+    # Of each open element: the innermost one, itself included, that is no inline one.
+    blocks = [0]
+    open_tags: Counter = Counter()
+
+    def close(size: int) -> None:
+        for element in opened[size:]:
+            open_tags[element.tag] -= 1
+        del opened[size:], blocks[size:]
+
     for found in TOKEN.finditer(source):
         text = found["text"]
         if text is not None:
-            yield "", text, around
+            yield "", text, opened[-1]
             continue
         if found["raw"]:
-            yield found["raw"].lower(), "", around
+            yield found["raw"].lower(), "", opened[-1]
             continue
         tag = (found["tag"] or "").lower()
         if not tag:
             continue
         if found["close"]:
-            for place in range(len(opened) - 1, -1, -1):
-                if opened[place].tag == tag:
-                    del opened[place:]
-                    break
+            if open_tags[tag]:
+                place = len(opened) - 1
+                while opened[place].tag != tag:
+                    place -= 1
+                close(place)
         else:
-            if tag in ENDS_PARAGRAPH or tag in ENDS_OWN:
-                for place in range(len(opened) - 1, -1, -1):
-                    name = opened[place].tag
-                    if name == tag and tag in ENDS_OWN or name == "p" and tag in ENDS_PARAGRAPH:
-                        del opened[place:]
-                        break
-                    if name not in INLINE:
-                        break
+            name = opened[blocks[-1]].tag
+            if name == tag and tag in ENDS_OWN or name == "p" and tag in ENDS_PARAGRAPH:
+                close(blocks[-1])
             if tag not in VOID:
-                opened.append(_Element(tag, found["rest"], opened[-1] if opened else None))
+                opened.append(_Element(tag, found["rest"], opened[-1]))
+                blocks.append(blocks[-1] if tag in INLINE else len(opened) - 1)
+                open_tags[tag] += 1
                 made.append(opened[-1])
-        around = tuple(opened)
-        yield tag, "", around
+        yield tag, "", opened[-1]
 
 
 def _words(text: str) -> int:
     return len(text.split())
 
 
-def _features(around: tuple[_Element, ...]) -> set[str]:
-    return {feature for element in around for feature in element.features}
-
-
-def _side(around: tuple[_Element, ...]) -> _Element | None:
-    """The outermost boilerplate element."""
-    return next((element for element in around if element.side), None)
+def _new_features(elements: list[_Element]) -> Iterator[tuple[_Element, list[str]]]:
+    """Each element with those of its features that no element around it has."""
+    path: list[tuple[_Element, list[str]]] = []
+    known: set[str] = set()
+    for element in elements:
+        while path and path[-1][0] is not element.parent:
+            known.difference_update(path.pop()[1])
+        new = [feature for feature in element.features if feature not in known]
+        known.update(new)
+        path.append((element, new))
+        yield element, new
 
 
 def count_features(source: str) -> Counter:
-    """(feature, is it a tag, is it main text) -> how often, for a labelled page."""
+    """(feature, is it a tag, is it main text) -> how often, for a labelled page.
+
+    Words count for every feature around them once: each element hands the words of all
+    below it to the features that are new with it.
+    """
     found: Counter = Counter()
+    page = read_page(source)
+    within = {e: [0, 0] for e in page.elements}
     labelled = False
-    for tag, text, around in read_page(source):
-        main = any(e.main for e in around) and not any(e.side for e in around)
+    for tag, text, element in page.events:
+        main = element.in_main and element.outer_side is None
         labelled |= main
         if tag:
             found[tag, True, main] += 1
         elif words := _words(text):
-            for feature in _features(around):
-                found[feature, False, main] += words
+            within[element][main] += words
             found["", False, main] += words
-    return found if labelled else Counter()
+    if not labelled:
+        return Counter()
+    for element in reversed(page.elements[1:]):
+        for main in (0, 1):
+            within[element.parent][main] += within[element][main]
+    for element, new in _new_features(page.elements):
+        for main in (False, True):
+            if words := within[element][main]:
+                for feature in new:
+                    found[feature, False, main] += words
+    return found
 
 
 def _learned(pages: DataFrame) -> DataFrame:
@@ -307,9 +372,9 @@ def _with_rare(rows: DataFrame, rare: DataFrame) -> DataFrame:
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keys, features, tags = [], [], []
         for at, source in zip(batch["page"].to_pylist(), batch["html"], strict=True):
-            events = read_page(source.as_py() or "")
-            found = {(tag, True) for tag, _, _ in events if tag}
-            found |= {(f, False) for around in {e[2] for e in events} for f in _features(around)}
+            page = read_page(source.as_py() or "")
+            found = {(tag, True) for tag, _, _ in page.events if tag}
+            found |= {(f, False) for element in page.elements for f in element.features}
             keys += [at] * len(found)
             features += [feature for feature, _ in found]
             tags += [is_tag for _, is_tag in found]
@@ -335,50 +400,65 @@ class Extractor:
     def __init__(self, weights: dict[tuple[str, bool], float]) -> None:
         self.weights = weights
 
-    def _word(self, around: tuple[_Element, ...]) -> float:
-        if any(element.side for element in around):
-            return -WORD_BOUND
-        score = PLAIN_WORD
-        for feature in _features(around):
-            own = self.weights.get((feature, False), 0.0)
-            score += min(max(own, -SIDE_BOUND), MAIN_BOUND)
-        return min(max(score, -WORD_BOUND), WORD_BOUND)
+    def _score_words(self, elements: list[_Element]) -> None:
+        """``score`` of a word in each element, by the distinct features around it."""
+        sums: dict[_Element | None, float] = {None: PLAIN_WORD}
+        for element, new in _new_features(elements):
+            total = sums[element.parent]
+            for feature in new:
+                own = self.weights.get((feature, False), 0.0)
+                total += min(max(own, -SIDE_BOUND), MAIN_BOUND)
+            sums[element] = total
+            element.score = -WORD_BOUND if element.outer_side else min(max(total, -WORD_BOUND), WORD_BOUND)
 
     def _tag(self, tag: str) -> float:
         return min(max(self.weights.get((tag, True), 0.0), TAG_LEAST), TAG_MOST)
 
-    def extract(self, source: str) -> str:
-        events, best, start, total = read_page(source), (0.0, 0, 0), 0, 0.0
-        places = {around for _, _, around in events}
-        marked = any(e.main for around in places if not _side(around) for e in around)
-        known: dict[tuple[_Element, ...], float] = {}
-        block = None
-        for place, (tag, text, around) in enumerate(events, 1):
-            side = _side(around)
-            if side and (not marked or any(e.main for e in side.ancestors())):
+    def event_scores(self, page: Page) -> list[float]:
+        """What each tag and text of the page adds to a region that holds it."""
+        self._score_words(page.elements)
+        marked = any(e.in_main and not e.outer_side for e in page.elements)
+        scores, block = [], None
+        for tag, text, element in page.events:
+            side, score = element.outer_side, 0.0
+            if side and (not marked or side.parent.in_main):
                 if side is not block and not marked:
-                    total += SIDE_BLOCK
+                    score = SIDE_BLOCK
                 block = side
             elif tag:
-                total += self._tag(tag)
-            elif words := _words(text):
-                if around not in known:
-                    known[around] = self._word(around)
-                total += known[around] * words
-            if total <= 0:
-                start, total = place, 0.0
-            elif total > best[0]:
-                best = (total, start, place)
-        _, first, last = best
+                score = self._tag(tag)
+            else:
+                score = element.score * _words(text)
+            scores.append(score)
+        return scores
+
+    def extract(self, source: str) -> str:
+        page = read_page(source)
+        first, last = best_region(self.event_scores(page))
         parts = []
-        for tag, text, around in events[first:last]:
+        for tag, text, element in page.events[first:last]:
             if tag:
                 parts.append("" if tag in INLINE else " ")
-            elif not any(element.side for element in around):
+            elif not element.outer_side:
                 parts.append(html.unescape(text))
         return " ".join("".join(parts).split())
 
 
+def best_region(scores: list[float]) -> tuple[int, int]:
+    """The contiguous range with the largest sum above 0, in one scan; else an empty one.
+
+    Of several with that sum the one that ends first, and of these the shortest.
+    """
+    best, start, total = (0.0, 0, 0), 0, 0.0
+    for end, score in enumerate(scores, 1):
+        total += score
+        if total <= 0:
+            start, total = end, 0.0
+        elif total > best[0]:
+            best = (total, start, end)
+    return best[1], best[2]
+
+
 def main_text(
     pages: DataFrame,
     weights: dict[tuple[str, bool], float] | None = None,

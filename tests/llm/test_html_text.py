@@ -1,5 +1,8 @@
 import html
+import random
 import re
+import time
+from collections import Counter
 
 import pytest
 
@@ -130,3 +133,105 @@ def test_nulls_and_empty_tables(spark):
     got = html_text.main_text(spark.createDataFrame(rows, SCHEMA)).collect()
     assert [(r.page_id, r.text, r.n_chars) for r in got] == [(1, "", 0), (None, "a b", 3), (None, "a b", 3)]
     assert html_text.main_text(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "section",
+    ["<section class='related-work'>", "<section id='menu-costs'>", "<section id=search>", "<h2 id='share'>On shares</h2>", "<div class='post-comments-policy'>"],
+)
+def test_sections_of_an_article_stay(extractor, section):
+    page = f"<article><p>{'word ' * 80}</p>{section}<p>{'more ' * 30}</p></section></div></article><footer>end</footer>"
+    text = extractor.extract(page)
+    assert text.count("word") == 80 and text.count("more") == 30 and "end" not in text
+
+
+def test_side_names_are_learned_beside_the_list():
+    """A name that no list has, on labelled pages outside the article, then on a plain page."""
+    pages = [f"<article><div class=story>{i} {'main ' * 50}</div></article><div class=responses>{'reply ' * 30}</div>" for i in range(9)]
+    total = Counter()
+    for page in pages:
+        total.update(html_text.count_features(page))
+    rows = [
+        {"feature": f, "is_tag": t, "inside": total[f, t, True], "outside": total[f, t, False]}
+        for f, t in {(f, t) for f, t, _ in total}
+    ]
+    page = f"<div class=story>{'main ' * 40}</div><div class=responses>{'reply ' * 30}</div>"
+    assert html_text.Extractor(html_text._weights(rows)).extract(page) == " ".join(["main"] * 40)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<b>" * 100_000 + "word " * 50,
+        "<p>" + "<b>word " * 50_000 + "</i>" * 50_000,
+        "<p>" + "<i class=x>w " * 30_000 + "<hr>" * 30_000,
+        "<div>" * 100_000 + "word " * 50 + "</div>" * 100_000,
+        "<div class=ad>" * 50_000 + "word " * 50,
+        "<article class=ad>" * 50_000 + "word " * 50,
+        "<main><div class=ad>" * 30_000 + "word " * 50,
+        "".join(f"<i class=n{chr(97 + i % 26) * (1 + i // 26 % 9)}{chr(97 + i // 300 % 26)}>w " for i in range(40_000)),
+    ],
+)
+def test_deep_nesting_takes_linear_time(extractor, page):
+    began = time.time()
+    extractor.extract(page)
+    assert time.time() - began < 2
+    html_text.count_features(page)
+    assert time.time() - began < 4
+
+
+def _brute_region(scores):
+    best, found = 0.0, (0, 0)
+    for start in range(len(scores)):
+        total = 0.0
+        for end in range(start, len(scores)):
+            total += scores[end]
+            if total > best:
+                best, found = total, (start, end + 1)
+    return best, found
+
+
+def test_scan_equals_all_regions(extractor):
+    rng = random.Random(5)
+    for _ in range(300):
+        scores = [float(rng.randint(-6, 6)) for _ in range(rng.randint(0, 40))]
+        first, last = html_text.best_region(scores)
+        assert sum(scores[first:last]) == _brute_region(scores)[0]
+    parts = ["<p>", "</p>", "<div class=ad>", "</div>", "<article>", "</article>", "<nav>", "</nav>", "<b>", "word word ", "one <br>", "<aside>", "</aside>", "<li>"]
+    for _ in range(200):
+        page = html_text.read_page("".join(rng.choice(parts) for _ in range(rng.randint(1, 40))))
+        scores = extractor.event_scores(page)
+        first, last = html_text.best_region(scores)
+        assert abs(sum(scores[first:last]) - _brute_region(scores)[0]) < 1e-9
+
+
+def test_word_scores_and_counts_equal_brute_force(extractor):
+    """Inherited sums against the distinct features of all elements around."""
+    rng = random.Random(6)
+    parts = ["<p class=a>", "</p>", "<div class='b a'>", "</div>", "<article>", "</article>", "<i id=b>", "</i>", "x y ", "<section>", "<footer>", "</footer>"]
+    for _ in range(150):
+        source = "".join(rng.choice(parts) for _ in range(30))
+        page = html_text.read_page(source)
+        extractor._score_words(page.elements)
+        found, labelled = Counter(), False
+        for tag, text, element in page.events:
+            around, at = [], element
+            while at is not None:
+                around.append(at)
+                at = at.parent
+            features = {f for e in around for f in e.features}
+            side = any(e.side for e in around)
+            if not side:
+                score = html_text.PLAIN_WORD + sum(
+                    min(max(extractor.weights.get((f, False), 0.0), -html_text.SIDE_BOUND), html_text.MAIN_BOUND) for f in features
+                )
+                assert element.score == pytest.approx(min(max(score, -3.0), 3.0))
+            main = any(e.main for e in around) and not side
+            labelled |= main
+            words = len(text.split())
+            if tag:
+                found[tag, True, main] += 1
+            elif words:
+                for f in (*features, ""):
+                    found[f, False, main] += words
+        assert html_text.count_features(source) == (found if labelled else Counter())
