@@ -81,23 +81,34 @@ def _of_kind(field: int) -> Column:
 
 
 def parts(documents: DataFrame) -> DataFrame:
-    """``row, doc_id, kind, start, end`` of all parts, one null row where a text has none."""
+    """``row, doc_id, kind, start, end`` of all parts, and one null row of each text.
+
+    Without the latter a text would be lost whose only matches are too short to count.
+    """
     rows = documents.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    found = F.concat(*[_matches(place) for place in range(len(KINDS))])
+    # The whole text itself, of no kind.
+    whole = F.struct(
+        F.lit(None).cast("int").alias("kind"),
+        F.lit(0).alias("at"),
+        F.lit(0).alias("gap"),
+        F.lit(0).alias("size"),
+        F.lit(True).alias("counts"),
+    )
+    found = F.concat(F.array(whole), *[_matches(place) for place in range(len(KINDS))])
     exploded = (
         rows.select("row", "doc_id", found.alias("found"))
         .repartition("row")
-        .select("row", "doc_id", F.explode_outer("found").alias("part"))
+        .select("row", "doc_id", F.explode("found").alias("part"))
         .select("row", "doc_id", "part.*")
     )
     before = Window.partitionBy("row", "kind").orderBy("at")
     ended = F.sum(F.col("gap") + F.col("size")).over(before)
     placed = exploded.withColumn("end", ended).withColumn("start", F.col("end") - F.col("size"))
-    return placed.where("counts or kind is null").select("row", "doc_id", "kind", "start", "end")
+    return placed.where("counts").select("row", "doc_id", "kind", "start", "end")
 
 
 def linked(found: DataFrame, reach: int = REACH) -> DataFrame:
