@@ -8,8 +8,6 @@ meets under an equal key. With 10 chunks of 5 and one error that guarantees all
 up to a distance of 19 of 50; pairs that meet at up to ``FAR`` are verified too. A pair
 of similarity 0.8 is missed with a probability of about 2e-6.
 
-Pairs under a key are never all made. First every set under a key is paired with the
-smallest one there; pairs near enough are confirmed on their full shingle sets, and
 Pairs under a key are never all made. First every set under a key is paired with the
 smallest one there; pairs near enough are confirmed on their full shingle sets, and
 their components found. Only keys that still hold several components are looked at
@@ -20,7 +18,8 @@ candidate pairs would link.
 
 Words are runs of anything but ASCII white space, A-Z in lower case; a set holds the
 distinct shingles of four words (one of all words, if there are fewer). Sets are
-compared as 64-bit shingle hashes; equal sets, by a 128-bit digest of these.
+compared as 64-bit shingle hashes made of 64-bit BLAKE2b digests of their words (two
+given words share one with a chance of 2^-64); equal sets, by a 128-bit digest of these.
 
 Cases: null text counts as empty; a text without words has size 0 and stands alone.
 A row with a null ``doc_id`` is linked with nothing, has a null ``component_id`` and is
@@ -55,8 +54,8 @@ _RANDOM = np.random.default_rng(1)
 _SLOPES = _RANDOM.integers(0, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = _RANDOM.integers(0, 2**63, VALUES, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Words whose hashes a task remembers; beyond, it starts over.
+KNOWN_WORDS = 300_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -66,21 +65,23 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _WordHashes(dict):
+    """The 64-bit BLAKE2b digest of each word that is asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        self[word] = value
+        return value
+
+
+_KNOWN = _WordHashes()
+
+
 def _word_hashes(data: bytes) -> np.ndarray:
-    seen = np.frombuffer(data.lower(), np.uint8)
-    inside = np.append(False, ~_SPACE[seen])
-    starts = np.flatnonzero(inside[1:] & ~inside[:-1])
-    if not len(starts):
-        return np.empty(0, np.uint64)
-    places = np.flatnonzero(inside[1:])
-    sizes = np.diff(np.append(np.searchsorted(places, starts), len(places)))
-    within = np.arange(len(places)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    powers = np.full(int(sizes.max()), _BASE, np.uint64)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    terms = (seen[places].astype(np.uint64) + np.uint64(1)) * powers[within]
-    sums = np.add.reduceat(terms, np.cumsum(sizes) - sizes)
-    return _mixed(sums ^ sizes.astype(np.uint64) << np.uint64(40))
+    words = data.lower().split()
+    return np.fromiter(map(_KNOWN.__getitem__, words), np.uint64, len(words))
 
 
 def shingle_set(data: bytes) -> np.ndarray:

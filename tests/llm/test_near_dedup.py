@@ -94,3 +94,24 @@ def test_chains_and_stars_become_components(spark, monkeypatch, together):
     expected = {i: 0 for i in range(1, 41)} | {200 + i: 100 for i in range(50)} | {901: 900}
     assert got == expected
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_words_made_to_collide_are_told_apart(docs):
+    """Thue-Morse words, equal under any polynomial modulo 2^64 with an odd base."""
+    order = [bin(i).count("1") % 2 for i in range(2048)]
+    one, two = ("".join("ab"[b ^ flip] for b in order) for flip in (0, 1))
+    rest = " ".join(f"w{i}" for i in range(2))
+    rows = [(1, f"{one} {rest}"), (2, f"{two} {rest}"), (3, f"{one} {rest}")]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(docs(rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_long_texts_of_distinct_shingles(docs):
+    words = [f"w{i * 7919 % 1_000_003}" for i in range(200_000)]
+    edited = words[:]
+    edited[::100] = ["x"] * len(edited[::100])
+    far = words[:]
+    far[::10] = ["x"] * len(far[::10])
+    rows = [(1, " ".join(words)), (2, " ".join(edited)), (3, " ".join(far))]
+    got = {r.doc_id: (r.component_id, r.n_shingles) for r in near_dedup.near_groups(docs(rows)).collect()}
+    assert got[1] == (1, 199_997) and got[2][0] == 1 and got[3][0] == 3
