@@ -14,7 +14,7 @@ that a tie can need, so a vector that a third of the rows share costs one candid
 Nearness is cosine in double precision; ties go to the smaller id. Vectors that are
 null, zero, or hold null or non-finite components, and rows with a null id, take no
 part; vectors are compared to those of their own length. Of rows that share an id the
-one with the smallest vector stands. A query with fewer candidates than ``k`` gets all.
+one with the fewest components stands, and of these the one with the smallest vector. A query with fewer candidates than ``k`` gets all.
 An empty table gives an empty result; other columns are not looked at.
 """
 
@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillon.operators.joins import lookup_join
+
 TREES, BITS = 48, 24
 #: Share of a block's distinct vectors that become candidates of a query at least.
 SHARE = 0.4
@@ -135,6 +137,16 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & finite & nonzero).withColumn("size", F.size("vector"))
 
 
+def one_size(rows: DataFrame) -> DataFrame:
+    """Of rows that share an id, those with the fewest components."""
+    if rows.select("size").distinct().limit(2).count() < 2:
+        return rows
+    sizes = rows.groupBy("id").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    several = sizes.where("least < most").select("id", "least")
+    joined = lookup_join(rows, several, ["id"], "left", [F.xxhash64("vector")])
+    return joined.where("least is null or size = least").drop("least")
+
+
 def nearest(
     vectors: DataFrame,
     queries: DataFrame,
@@ -146,8 +158,8 @@ def nearest(
     query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest rows found for each query."""
-    data = usable(vectors, id_column, vector_column)
-    asked = usable(queries, id_column, vector_column)
+    data = one_size(usable(vectors, id_column, vector_column))
+    asked = one_size(usable(queries, id_column, vector_column))
     n_data = max(1, math.ceil(data.count() / data_block))
     n_asked = max(1, math.ceil(asked.count() / query_block))
 

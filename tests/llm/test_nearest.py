@@ -70,3 +70,13 @@ def test_forest_finds_the_longest_prefixes_first():
     for row, mask in enumerate(forest.candidates(vectors[:50], 20)):
         assert mask[row] and mask.sum() >= 20
     assert next(forest.candidates(vectors[:1], 500)).all()
+
+
+def test_same_id_with_two_lengths(spark):
+    """The shorter vector stands, among candidates and queries alike."""
+    rows = [(0, [1.0, 2.0], "x"), (0, [1.0, 2.0, 3.0], "x"), (0, [0.5, 9.0], "x"), (1, [1.0, 1.0], "x"), (2, [1.0, 1.0, 1.0], "x"), (3, [2.0, 0.5], "x"), (4, [0.0, 1.0, 1.0], "x")]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = _result(nearest.nearest(frame, frame, share=1.0))
+    assert [i for i, _ in got[0]] == [1, 3]
+    assert [i for i, _ in got[2]] == [4]
+    assert all(0 not in [i for i, _ in got[q]] for q in (2, 4))
