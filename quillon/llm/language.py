@@ -33,6 +33,8 @@ UNDETERMINED = "und"
 PROFILE, DOCUMENT_NGRAMS = 400, 300
 #: A profile set is broadcast; more languages than this is an error, not a cut.
 MAX_LANGUAGES = 2_000
+#: Below this score a text resembles no language that was learned.
+LEAST_SCORE = 0.25
 BLANK = 32
 
 
@@ -58,6 +60,10 @@ def ngrams(text: str) -> np.ndarray:
     return np.concatenate((marked[marked != BLANK], pairs, triples))
 
 
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
+
+
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(keys, return_counts=True)
 
@@ -94,12 +100,18 @@ def learn_profiles(labelled: DataFrame, size: int = PROFILE) -> DataFrame:
     counted = rows.mapInArrow(each_batch(make), "lang string, ngram bigint, n bigint")
     totals = counted.groupBy("lang", "ngram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "ngram")
-    ranked = totals.withColumn("rank", F.row_number().over(order) - 1)
-    return ranked.where(F.col("rank") < size).select("lang", "ngram", "rank")
+    # Filtered on the row number itself, Spark keeps ``size`` rows of each task's part of a
+    # language before the shuffle.
+    ranked = totals.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
+    return ranked.select("lang", "ngram", (F.col("place") - 1).alias("rank"))
 
 
 class Profiles:
-    """Learned profiles, ready for comparison."""
+    """Learned profiles, ready for comparison.
+
+    They are ``full`` where each has ``PROFILE`` n-grams: enough to tell that a text
+    resembles none of them.
+    """
 
     def __init__(self, rows: list) -> None:
         by_lang: dict[str, list] = {}
@@ -110,6 +122,7 @@ class Profiles:
         self.by_lang = {
             lang: np.array(sorted(found), np.int64).T for lang, found in sorted(by_lang.items())
         }
+        self.full = bool(by_lang) and min(len(found) for found in by_lang.values()) >= PROFILE
 
     def predict(self, text: str | None) -> tuple[str, float]:
         own = in_rank_order(ngrams(text or ""), DOCUMENT_NGRAMS)
@@ -127,6 +140,10 @@ class Profiles:
 
 def _learned(documents: DataFrame) -> Profiles:
     training = documents.where(F.col("doc_id").isNotNull() & ~held_out())
+    known = training.where("lang is not null and text is not null").select("lang").distinct()
+    languages = known.limit(MAX_LANGUAGES + 1).count()
+    if languages > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages; their profiles cannot be broadcast")
     return Profiles([tuple(row) for row in learn_profiles(training).collect()])
 
 
@@ -149,14 +166,28 @@ def predict_languages(documents: DataFrame, profiles: Profiles | None = None) ->
     return rows.mapInArrow(each_batch(make), schema)
 
 
-def drop_undetermined(documents: DataFrame) -> DataFrame:
-    """The rows of ``documents``, with all their columns, whose text has a language."""
+def drop_undetermined(documents: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``documents``, with all their columns, whose text has a language.
+
+    A text goes that has no letter, or that resembles no profile: its best score is below
+    ``least``. The latter holds only where all profiles are full; with little or nothing
+    learned, every text with a letter stays. A row without a ``lang`` gets the predicted
+    one, if any; a given ``lang`` is left as it is, also a wrong one.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(_learned(documents))
-    at = documents.columns.index("text")
+    text_at, lang_at = documents.columns.index("text"), documents.columns.index("lang")
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        known = [shared.value.predict(t.as_py())[0] != UNDETERMINED for t in batch.column(at)]
-        yield batch.filter(pa.array(known, pa.bool_()))
+        profiles, kept, langs = shared.value, [], []
+        for text, lang in zip(batch.column(text_at), batch.column(lang_at).to_pylist(), strict=True):
+            text = text.as_py()
+            found, score = profiles.predict(text)
+            lettered = found != UNDETERMINED or not profiles.by_lang and has_letter(text)
+            kept.append(lettered and (score >= least or not profiles.full))
+            langs.append(found if lang is None and found != UNDETERMINED else lang)
+        columns = list(batch.columns)
+        columns[lang_at] = pa.array(langs, batch.schema.field(lang_at).type)
+        yield pa.record_batch(columns, batch.schema).filter(pa.array(kept, pa.bool_()))
 
     schema = T.StructType(documents.schema.fields)
     return documents.mapInArrow(each_batch(make), schema)

@@ -2,6 +2,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quillon.llm import language
@@ -72,3 +73,47 @@ def test_only_undetermined_rows_go(docs):
     assert kept.columns == rows.columns
     assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 4]
     assert kept.where(F.col("recipe") == "x").count() == 3
+
+
+def test_nothing_learned_loses_nothing(docs):
+    """All ``lang`` null, or only held-out rows labelled: what has a letter stays."""
+    texts = [(i, t) for i, t in enumerate(("some words", "42 !", None, "", "漢字", "x"))]
+    for lang in ([None] * 6, [None if zlib.crc32(str(i).encode()) % 3 != 1 else "en" for i in range(6)]):
+        rows = docs([(i, t, own) for (i, t), own in zip(texts, lang, strict=True)])
+        kept = language.drop_undetermined(rows)
+        assert sorted(r.doc_id for r in kept.collect()) == [0, 4, 5]
+        assert kept.columns == rows.columns
+
+
+def test_the_prediction_takes_effect(spark, docs):
+    """Null languages are filled in, wrong ones stay, texts like no profile go."""
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(150).collect()
+    rows = [(r.doc_id, r.text, r.lang) for r in table]
+    given = {r.doc_id: r.lang for r in table}
+    lost = [i for i in given if i % 7 == 0]
+    wrong = [i for i in given if i % 7 == 1]
+    rows = [(i, t, None if i in lost else "zz" if i in wrong else lang) for i, t, lang in rows if i not in wrong]
+    rows += [(i, t, "de" if given[i] != "de" else "fr") for i, t in ((r.doc_id, r.text) for r in table) if i in wrong]
+    rows += [(9_001, "漢字 仮名 混じり 文 漢字", None), (9_002, "ж д щ ю э ъ", "en"), (9_003, "12 34", None)]
+    kept = {r.doc_id: r.lang for r in language.drop_undetermined(docs(rows)).collect()}
+    lettered = {i for i, t, _ in rows if any(c.isalpha() for c in t or "")}
+    assert kept.keys() == lettered - {9_001, 9_002}
+    assert sum(kept[i] == given[i] for i in lost if i in kept) >= 0.95 * len(lost)
+    assert all(kept[i] != given[i] for i in wrong if i in kept)
+
+
+def test_too_many_languages_are_refused_before_they_are_collected(spark, docs, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 3)
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        language.predict_languages(docs([(i, "text", f"l{i}") for i in range(20)]))
+
+
+def test_profiles_are_cut_before_the_shuffle(docs):
+    plan = language.learn_profiles(docs([(1, "some words", "en")]))._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_very_long_texts(docs):
+    rows = [(1, "word and more " * 300_000, "en"), (2, "words and more", "en")]
+    got = {r.doc_id: r.lang_pred for r in language.predict_languages(docs(rows)).collect()}
+    assert got == {1: "en", 2: "en"}
