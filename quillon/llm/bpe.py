@@ -36,13 +36,11 @@ PRE_TOKEN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
     r"| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-# The white space characters of that pattern.
-SPACES = frozenset(
-    "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
-    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-)
-#: Remembered pieces of a task; beyond, it starts over (memory, not results).
-CACHE_SIZE = 250_000
+SPACE_BEGINS = regex.compile(r"(?<=\P{White_Space})\p{White_Space}")
+#: Characters that are cut and encoded in one step.
+PART = 2_000_000
+#: Remembered pre-tokens of a task; beyond, it starts over (memory, not results).
+CACHE_SIZE = 300_000
 #: Fragments are merged together with others of up to these lengths.
 WIDTHS = (8, 12, 16, 24, 40)
 NO_RANK = 2**40
@@ -74,12 +72,7 @@ def read_tokenizer(path: str) -> dict:
 
 
 class ForcedBoundaryCodec:
-    """Encoder and decoder of one task, with the pieces it has met.
-
-    A piece is what stands between single spaces or line feeds; the pre-token pattern
-    never looks past such a place. Texts with other white space runs are cut by the
-    pattern as a whole.
-    """
+    """Encoder and decoder of one task, with the pre-tokens it has met."""
 
     def __init__(self, tokenizer: dict, cache_size: int = CACHE_SIZE) -> None:
         ids, merges, self.special = (tokenizer[k] for k in ("ids", "merges", "special"))
@@ -95,14 +88,14 @@ class ForcedBoundaryCodec:
         self.merged = np.array([m[1] for m in sorted(merges.values())], np.int64)
         self.bytes_of = {n: token for token, n in ids.items()}
         self.bytes_of |= {n: text.encode() for text, n in self.special.items()}
-        self.text_of = {n: str(n) for n in self.bytes_of}
         self.pattern = regex.compile(PRE_TOKEN)
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile(f"({'|'.join(map(regex.escape, names))})") if names else None
-        self.first: dict[str, list[int] | None] = {}
-        self.spaced: dict[str, list[int] | None] = {}
+        self.special_joined = {text: str(n) for text, n in self.special.items()}
+        self.special_data = {text: text.encode() for text in self.special}
+        # Of each pre-token that was met: its ids, joined by commas, and their bytes.
+        self.joined, self.data = dict(self.special_joined), dict(self.special_data)
         self.cache_size = cache_size
-        self.feed = self.encode_fragments([b"\n"])[0]
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         pairs = left << 32 | right
@@ -211,57 +204,54 @@ class ForcedBoundaryCodec:
             for token, count in zip(distinct, counts, strict=True)
         }
 
-    def _learn(self, lines: list[list[str]]) -> None:
-        """Encode the pieces of ``lines`` that are new; None for a piece the pattern sees past."""
-        if len(self.first) + len(self.spaced) > self.cache_size:
-            self.first.clear()
-            self.spaced.clear()
-        first = {line[0] for line in lines if line[0] not in self.first}
-        known = self.spaced
-        spaced = {piece for line in lines for piece in line[1:] if piece not in known}
-        split = self.pattern.findall
-        wanted = [(self.first, piece, piece) for piece in first]
-        wanted += [(self.spaced, piece, " " + piece) for piece in spaced]
-        cut = [
-            None if not piece or piece[0] in SPACES or piece[-1] in SPACES else split(text)
-            for _, piece, text in wanted
-        ]
-        ids = self.encode_tokens(chain.from_iterable(tokens for tokens in cut if tokens))
-        for (cache, piece, _), tokens in zip(wanted, cut, strict=True):
-            cache[piece] = None if tokens is None else list(
-                chain.from_iterable(map(ids.__getitem__, tokens))
-            )
-
-    def _by_pattern(self, text: str) -> list[int]:
-        ids: list[int] = []
-        for piece in self.cut.split(text) if self.cut else [text]:
-            if piece in self.special:
-                ids.append(self.special[piece])
-            else:
-                tokens = self.pattern.findall(piece)
-                known = self.encode_tokens(tokens)
-                ids += chain.from_iterable(map(known.__getitem__, tokens))
-        return ids
+    def _pre_tokens(self, text: str) -> Iterator[list[str]]:
+        """The pre-tokens and special tokens of a text, a bounded part of it at a time."""
+        parts = self.cut.split(text) if any(name in text for name in self.special) else [text]
+        for part in parts:
+            if part in self.special:
+                yield [part]
+                continue
+            start = 0
+            while len(part) - start > PART:
+                # The pattern never looks past a place where white space begins.
+                found = SPACE_BEGINS.search(part, start + PART)
+                if not found:
+                    break
+                yield self.pattern.findall(part, start, found.start())
+                start = found.start()
+            yield self.pattern.findall(part, start)
+
+    def _learn(self, tokens: list[str]) -> None:
+        """Encode those of the pre-tokens that are new."""
+        if len(self.joined) > self.cache_size:
+            self.joined, self.data = dict(self.special_joined), dict(self.special_data)
+        new = set(tokens).difference(self.joined)
+        for token, ids in self.encode_tokens(new).items():
+            self.joined[token] = ",".join(map(str, ids))
+            self.data[token] = b"".join(map(self.bytes_of.__getitem__, ids))
+
+    def round_trips(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The ids of each text joined by commas, and their bytes.
+
+        Both are remembered with each pre-token, so that nothing is done id by id.
+        """
+        for start, end in slices([len(text) for text in texts], PART):
+            parts = [list(self._pre_tokens(text)) for text in texts[start:end]]
+            if end - start > 1:
+                self._learn([token for some in parts for tokens in some for token in tokens])
+            for some in parts:
+                joined, data = [], []
+                for tokens in some:
+                    if end - start == 1:
+                        self._learn(tokens)
+                    joined += map(self.joined.__getitem__, tokens)
+                    data += map(self.data.__getitem__, tokens)
+                yield ",".join(joined), b"".join(data)
 
     def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
         """The ids of each text."""
-        for start, end in slices([len(text) for text in texts], 2_000_000):
-            some = [[line.split(" ") for line in text.split("\n")] for text in texts[start:end]]
-            self._learn([line for lines in some for line in lines])
-            for text, lines in zip(texts[start:end], some, strict=True):
-                ids: list[int] = []
-                if any(name in text for name in self.special):
-                    yield self._by_pattern(text)
-                    continue
-                for number, line in enumerate(lines):
-                    if number:
-                        ids += self.feed
-                    found = [self.first[line[0]], *map(self.spaced.__getitem__, line[1:])]
-                    if None in found:
-                        ids = self._by_pattern(text)
-                        break
-                    ids += chain.from_iterable(found)
-                yield ids
+        for joined, _ in self.round_trips(texts):
+            yield list(map(int, joined.split(","))) if joined else []
 
     def encode(self, text: str) -> list[int]:
         return next(self.encode_all([text]))
@@ -311,10 +301,10 @@ def round_trip(spark: SparkSession, documents: DataFrame, path: str) -> DataFram
 
     def row(codec: ForcedBoundaryCodec, batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, id_digests, text_digests = [], [], []
-        for ids in codec.encode_all([text or "" for text in batch["text"].to_pylist()]):
-            counts.append(len(ids))
-            id_digests.append(sha(",".join(map(codec.text_of.__getitem__, ids)).encode()))
-            text_digests.append(sha(codec.decode(ids).encode()))
+        for joined, data in codec.round_trips([text or "" for text in batch["text"].to_pylist()]):
+            counts.append(joined.count(",") + 1 if joined else 0)
+            id_digests.append(sha(joined.encode()))
+            text_digests.append(sha(data.decode("utf-8", "replace").encode()))
         columns = [batch["doc_id"], pa.array(counts, pa.int64())]
         columns += [pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())]
         return pa.record_batch(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
