@@ -32,10 +32,11 @@ from pyspark.sql import functions as F
 
 from quillon.llm.batches import each_batch, text_bytes
 
-BUCKETS = 1 << 18
-#: The last bucket holds the intercept.
-INTERCEPT = BUCKETS - 1
-SAMPLE, EPOCHS = 20_000, 6
+#: Buckets of each group; the one after them all holds the intercept.
+GROUP_BUCKETS = 1 << 16
+INTERCEPT = 4 * GROUP_BUCKETS
+BUCKETS = INTERCEPT + 1
+SAMPLE, EPOCHS = 10_000, 4
 #: Step size, its offset, and the two penalties.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.05, 0.01
 THRESHOLD = 0.7
@@ -59,11 +60,12 @@ def shapes(text: bytes) -> list[bytes]:
 def _buckets(numbers: np.ndarray, group: int) -> np.ndarray:
     mixed = (numbers + np.uint64(group)) * _MULTIPLIERS[0]
     mixed ^= mixed >> np.uint64(29)
-    return ((mixed * _MULTIPLIERS[1]) >> np.uint64(32)) % np.uint64(INTERCEPT)
+    own = (mixed * _MULTIPLIERS[1]) >> np.uint64(48)
+    return own.astype(np.int64) + group * GROUP_BUCKETS
 
 
 def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets and values of a text; the intercept is among them. A bucket may recur."""
+    """Distinct buckets of a text and their values; the intercept is among them."""
     places, values = [np.array([INTERCEPT])], [np.ones(1)]
     for at, words in enumerate((text.split(), shapes(text))):
         ones = np.fromiter(map(crc32, words), np.uint64, len(words))
@@ -72,7 +74,7 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
             if len(numbers):
                 found, counts = np.unique(_buckets(numbers, 2 * at + size), return_counts=True)
                 roots = np.sqrt(counts)
-                places.append(found.astype(np.int64))
+                places.append(found)
                 values.append(roots * (0.5 / np.sqrt(counts.sum())))
     return np.concatenate(places), np.concatenate(values)
 
@@ -91,8 +93,6 @@ class Leader:
         return -drawn / ((BETA + root) / ALPHA + L2)
 
     def learn(self, places: np.ndarray, values: np.ndarray, label: int) -> None:
-        places, at = np.unique(places, return_inverse=True)
-        values = np.bincount(at, values)
         weights = self.weights(places)
         slopes = (logistic(weights @ values) - label) * values
         n = self.n[places]
