@@ -51,7 +51,11 @@ WHERE {counts}"""
     )
 
     def near(condition: str) -> str:
-        return f"coalesce(max(({condition})::INT) OVER near, 0) = 1"
+        """Such a part overlaps this one or stands within reach, by the gap between them."""
+        return (
+            f"(coalesce(max(CASE WHEN {condition} THEN e END) OVER before >= s - {reach}, false)"
+            f" OR coalesce(min(CASE WHEN {condition} THEN s END) OVER behind <= e + {reach}, false))"
+        )
 
     roles = ("identifier", "secret", "endpoint")
     complements = []
@@ -71,8 +75,10 @@ judged AS (
          coalesce(max(e) FILTER (WHERE strong) OVER upto > s, false)
          OR coalesce(min(s) FILTER (WHERE strong) OVER after < e, false) AS covered
   FROM scoped
-  WINDOW near AS (PARTITION BY doc_id, scope ORDER BY s
-                  RANGE BETWEEN {reach} PRECEDING AND {reach} FOLLOWING),
+  WINDOW before AS (PARTITION BY doc_id, scope ORDER BY s
+                    RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         behind AS (PARTITION BY doc_id, scope ORDER BY s
+                    RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
          upto AS (PARTITION BY doc_id ORDER BY s
                   RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
          after AS (PARTITION BY doc_id ORDER BY s
