@@ -370,7 +370,7 @@ def topic_score(spark, sf):
 
 
 def _top(spark, sf, k):
-    top = scoring.top_elements(_search(spark, sf).scores(), k, SENTENCE)
+    top = _search(spark, sf).top_sentences(k)
     return top.select("q_id", "rank", *SENTENCE, "score")
 
 

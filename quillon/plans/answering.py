@@ -7,14 +7,14 @@ features the questions ask for, once to fetch the winning sentences.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions.arrays import bind
 from quillon.functions.text import sentence_array
-from quillon.operators import scoring, segment, topics
+from quillon.operators import pruning, scoring, segment, topics
 from quillon.operators.answering import extract_answers, question_types
 from quillon.operators.joins import MAX_BROADCAST_ROWS, is_small, lookup_join
 from quillon.operators.tfidf import DOCUMENT, SENTENCE
@@ -80,6 +80,25 @@ class Search:
             within,
         )
 
+    def contenders(self, k: int, topic_words: DataFrame | None = None) -> DataFrame:
+        """Scores of all sentences that can be among the ``k`` best of their question.
+
+        The same rows as ``scores`` or ``topic_scores`` give, less those that bounds rule out.
+        """
+        blocks = [self.features] if self.small else scoring.question_blocks(self.features)
+        parts = [
+            pruning.contenders(
+                block, self.matches, self.weights, self.size, SENTENCE, k, topic_words is not None
+            )
+            for block in blocks
+        ]
+        scored = reduce(DataFrame.unionByName, parts)
+        return scored if topic_words is None else self._boosted(scored, topic_words)
+
+    def top_sentences(self, k: int, topic_words: DataFrame | None = None) -> DataFrame:
+        """The ``k`` best sentences of each question, with ``rank`` and ``score``."""
+        return scoring.top_elements(self.contenders(k, topic_words), k, SENTENCE)
+
     def document_scores(self) -> DataFrame:
         """Base score of whole documents, with document frequencies.
 
@@ -99,6 +118,9 @@ class Search:
         )
 
     def topic_scores(self, topic_words: DataFrame) -> DataFrame:
+        return self._boosted(self.scores(), topic_words)
+
+    def _boosted(self, scored: DataFrame, topic_words: DataFrame) -> DataFrame:
         asked = topics.assign_topics(self.questions, topic_words, ["q_id"])
         stored_topics = "topic" in self.matches.columns
         found = (
@@ -106,7 +128,7 @@ class Search:
             if stored_topics
             else topics.topics_of_matches(self.matches, topic_words, SENTENCE, self.tasks)
         )
-        return scoring.boost_topics(self.scores(), asked, found)
+        return scoring.boost_topics(scored, asked, found)
 
 
 def winning_sentences(
@@ -163,8 +185,7 @@ def answer_questions(
     search = Search.over_sentences(
         annotated, segment.annotate(documents, lexicon), synonyms, topic_words
     )
-    scored = search.scores() if topic_words is None else search.topic_scores(topic_words)
-    top = scoring.top_elements(scored, k, SENTENCE)
+    top = search.top_sentences(k, topic_words)
     return answer_top(annotated, documents, top, k, legacy_span, lexicon)
 
 

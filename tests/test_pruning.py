@@ -1,0 +1,88 @@
+"""Pruned search gives exactly what scoring every pair gives."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_points
+from quillon.operators import pruning, scoring, segment
+from quillon.operators.tfidf import SENTENCE
+from quillon.plans.answering import Search
+from tests.conftest import DATA
+
+
+def _rows(frame):
+    return sorted(map(tuple, frame.select("q_id", "rank", *SENTENCE, "score").collect()))
+
+
+def _same(search, k, topic_words=None):
+    scored = search.scores() if topic_words is None else search.topic_scores(topic_words)
+    expected = _rows(scoring.top_elements(scored, k, SENTENCE))
+    assert _rows(search.top_sentences(k, topic_words)) == expected
+    return len(expected), search.contenders(k, topic_words).count(), scored.count()
+
+
+@pytest.mark.parametrize("questions", [entry_points._questions, entry_points._conversation_questions])
+def test_given_questions(spark, questions):
+    asked = segment.annotate_questions(questions(spark, DATA))
+    search = Search.over_sentences(asked, entry_points._sentences(spark, DATA))
+    for k in (1, 5):
+        found, kept, pairs = _same(search, k)
+        assert found and kept < pairs / 3
+
+
+def test_with_topics(spark):
+    words = entry_points._topic_words(spark, DATA).persist()
+    asked = segment.annotate_questions(entry_points._questions(spark, DATA))
+    search = Search.over_sentences(asked, entry_points._sentences(spark, DATA), topic_words=words)
+    assert _same(search, 5, words)[0]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Few words, so that many sentences tie, repeat words, share bigrams, or are equal."""
+    rng = random.Random(8)
+    words = ["alpha", "beta", "gamma", "is", "has", "delta", "echoes", "42", "the"]
+    lines = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 14))) for _ in range(400)]
+    lines += ["alpha " * 40, "beta alpha " * 30, "the the the"] + ["alpha beta gamma"] * 30
+    documents = spark.createDataFrame([(i, f"{t}.") for i, t in enumerate(lines)], "doc_id bigint, text string")
+    asked = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    asked += ["alpha", "zzz", "the", "", "alpha beta gamma", "rareword alpha alpha alpha"]
+    questions = spark.createDataFrame(list(enumerate(asked)), "q_id bigint, text string")
+    return Search.over_sentences(segment.annotate_questions(questions), segment.annotate(documents))
+
+
+@pytest.mark.parametrize("k", [1, 3, 50, 1000])
+def test_ties_repeats_and_few_hits(odd, k):
+    assert _same(odd, k)[0]
+
+
+@pytest.mark.parametrize("probe", [0, 5, 10**6])
+def test_any_probe_gives_the_same(odd, probe):
+    full = _rows(scoring.top_elements(odd.scores(), 4, SENTENCE))
+    kept = pruning.contenders(
+        odd.features, odd.matches, odd.weights, odd.size, SENTENCE, 4, probe=probe
+    )
+    assert _rows(scoring.top_elements(kept, 4, SENTENCE)) == full
+
+
+def test_question_blocks_give_the_same(odd, monkeypatch):
+    expected = _rows(odd.top_sentences(3))
+    monkeypatch.setattr(odd, "small", False)
+    monkeypatch.setattr(scoring.joins, "MAX_BROADCAST_ROWS", 200)
+    assert len(scoring.question_blocks(odd.features)) > 1
+    assert _rows(odd.top_sentences(3)) == expected
+
+
+def test_no_questions_and_no_documents(spark, corpus, asked):
+    for questions, documents in ((asked.limit(0), corpus), (asked, corpus.limit(0))):
+        search = Search.over_sentences(segment.annotate_questions(questions), segment.annotate(documents))
+        assert search.top_sentences(5).count() == 0
+
+
+def test_caps(spark):
+    counts = [1, 2, 3, 4, 5, 8, 9, 16, 17, 1000, 2**40, 2**40 + 1]
+    frame = spark.createDataFrame([(n,) for n in counts], "n bigint")
+    got = {r.n: r.cap for r in frame.select("n", pruning.cap_of(F.col("n")).alias("cap")).collect()}
+    assert [got[n] for n in counts] == [1, 2, 3, 4, 8, 8, 16, 16, 32, 1024, 2**40, 2**41]
