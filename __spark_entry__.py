@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import importlib
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,9 +26,13 @@ from quillon.functions.lexicon import STOP_WORDS
 from quillon.functions.text import sentence_array
 from quillon.operators import answering, models, numbering, scoring, segment, tfidf, topics, vectors
 from quillon.plans.answering import Search, answer_questions, document_first
-from quillon.plans.prepared import answer_from_store
+from quillon.plans.prepared import (
+    answer_from_store,
+    answer_from_version,
+    document_first_from_version,
+)
 from quillon.session import scratch_path, settled
-from quillon.sources import reports
+from quillon.sources import reports, versions
 from quillon.sources.store import read_store, write_store
 from quillon.sources.tables import read_documents
 from quillon.streaming.questions import answer_stream, read_question_stream
@@ -138,6 +143,30 @@ def prepared_roundtrip(spark, sf):
     return features.select("doc_id", "sent_no", "kind", "key", "n")
 
 
+def prepared_tables(spark, sf):
+    """Every table of a prepared segment that no fit can vary, as rows of one shape."""
+    version = versions.prepare(_documents(spark, sf), scratch_path(spark, "store"), buckets=8)
+    absent = {"doc_id": -1, "sent_no": -1, "kind": -1, "key": "", "n": 0}
+
+    def rows(name: str, table: DataFrame) -> DataFrame:
+        kinds = dict(doc_id="bigint", sent_no="int", kind="int", key="string", n="bigint")
+        cells = [
+            (F.col(c) if c in table.columns else F.lit(absent[c])).cast(kind).alias(c)
+            for c, kind in kinds.items()
+        ]
+        return table.select(F.lit(name).alias("name"), *cells)
+
+    weights = version.weights(version.features.select("kind", "key").distinct(), False)
+    parts = [
+        rows("documents", version.documents.withColumnRenamed("n_sents", "n")),
+        rows("sentences", version.sentences.select("doc_id", "sent_no", F.size("toks").alias("n"))),
+        rows("features", version.features),
+        rows("doc_features", version.doc_features),
+        rows("weights", weights.withColumnRenamed("df", "n")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def topic_report(spark, sf):
     return reports.topic_lines(topics.ranked_topic_words(_words_by_source(spark, sf)))
 
@@ -461,6 +490,53 @@ def qa_store(spark, sf):
     return answer_from_store(_questions(spark, sf), read_store(spark, path))
 
 
+def qa_appended(spark, sf):
+    """The same answers as ``qa_batch``, from a corpus that grew by segments.
+
+    The first segment has a quarter of the documents and old texts of others; three more
+    bring the rest and replace the old ones; one document comes that is removed again.
+    """
+    path, documents = scratch_path(spark, "store"), _documents(spark, sf).select("doc_id", "text")
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(4))
+    old = F.concat(F.lit("An old text is here. "), F.substring("text", 1, 50)).alias("text")
+    extra = spark.range(1).select(F.lit(-1).cast("bigint").alias("doc_id"), F.lit("It is gone.").alias("text"))
+    first = documents.where(part == 0).unionByName(documents.where(part == 1).select("doc_id", old))
+    versions.prepare(first.unionByName(extra), path, buckets=8)
+    for number in (1, 2, 3):
+        gone = extra if number == 2 else None
+        versions.append(spark, path, documents.where(part == number), gone)
+    return answer_from_version(_questions(spark, sf), versions.read_version(spark, path))
+
+
+def two_stage_store(spark, sf):
+    """The same as ``two_stage_retrieval``, from stored document and sentence features."""
+    version = versions.prepare(_documents(spark, sf), scratch_path(spark, "store"), buckets=8)
+    return document_first_from_version(_questions(spark, sf), version)
+
+
+def qa_fitted(spark, sf):
+    """Answers with the store's own fitted word vectors and topics, by what cannot vary.
+
+    Which sentences win depends on the fit; that they exist, that ranks have no gap and
+    that the quality fits the span does not.
+    """
+    path = scratch_path(spark, "store")
+    version = versions.prepare(
+        _documents(spark, sf), path, buckets=8, fit=True, vector_size=50, iterations=5
+    )
+    found = answer_from_version(_questions(spark, sf), version)
+    sents = version.sentences.select("doc_id", "sent_no", "sent")
+    joined = found.join(sents, SENTENCE, "left")
+    whole = F.col("answer") == F.col("sent")
+    return joined.select(
+        "q_id",
+        "rank",
+        F.col("sent").isNotNull().alias("exists"),
+        ((F.col("quality") == 1.0) | whole).alias("fits"),
+        (F.col("score") > 0).alias("scored"),
+    )
+
+
 def qa_stream(spark, sf):
     """One answer per question of a stream; equals the batch with ``k=1``."""
     folder = scratch_path(spark, "stream")
@@ -489,6 +565,7 @@ QUERIES = [
     top_sentences, top1_sentence, answer_why, answer_entity, answer_definition,
     qa_batch, answers, answers_legacy, answers_lexicon, qa_conversations, answer_report, answer_digest,
     best_answer, two_stage_retrieval, qa_store, qa_stream,
+    prepared_tables, qa_appended, two_stage_store, qa_fitted,
 ]
 
 

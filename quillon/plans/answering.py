@@ -99,12 +99,14 @@ class Search:
         """The ``k`` best sentences of each question, with ``rank`` and ``score``."""
         return scoring.top_elements(self.contenders(k, topic_words), k, SENTENCE)
 
-    def document_scores(self) -> DataFrame:
+    def document_scores(self, per_document: DataFrame | None = None) -> DataFrame:
         """Base score of whole documents, with document frequencies.
 
-        A document has no bigrams of its own, so only terms count.
+        A document has no bigrams of its own, so only terms count. ``per_document(doc_id,
+        kind, key, n)`` are its features where they are stored; else they are added up.
         """
-        per_document = self.matches.groupBy("doc_id", *scoring.FEATURE).agg(F.sum("n").alias("n"))
+        if per_document is None:
+            per_document = self.matches.groupBy("doc_id", *scoring.FEATURE).agg(F.sum("n").alias("n"))
         weights = stored(scoring.feature_weights(per_document), "weights")
         return scoring.score(
             self.features,
