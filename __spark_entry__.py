@@ -8,10 +8,11 @@ the topic of a text and ``embeddings`` the word vectors of the most frequent wor
 from __future__ import annotations
 
 import importlib
+import warnings
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_queries
@@ -24,7 +25,19 @@ from quillon.functions.answers import (
 )
 from quillon.functions.lexicon import STOP_WORDS
 from quillon.functions.text import sentence_array
-from quillon.operators import answering, models, numbering, scoring, segment, tfidf, topics, vectors
+from quillon.operators import lemmas as lemma_rules
+from quillon.operators import (
+    answering,
+    boundaries,
+    models,
+    numbering,
+    phrases,
+    scoring,
+    segment,
+    tfidf,
+    topics,
+    vectors,
+)
 from quillon.plans.answering import Search, answer_questions, document_first
 from quillon.plans.prepared import (
     answer_from_store,
@@ -49,14 +62,24 @@ LEXICON = {
     "en": (None, None, "PERSON"),
 }
 
+# Runs of words of the given documents as names.
+PHRASES = {
+    "of the": "LOCATION",
+    "of the the": "ORGANIZATION",
+    "the the": "MISC",
+    "de la": "PERSON",
+    "in der": "LOCATION",
+    "that the of": "ORGANIZATION",
+    "is": "TIME",
+}
+
 
 # --- inputs -----------------------------------------------------------------
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    # The given table is one file: dealt out, so that all cores have work.
-    parts = spark.sparkContext.defaultParallelism
-    return read_documents(spark, f"{sf}/documents.parquet", parts)
+    cores = spark.sparkContext.defaultParallelism
+    return read_documents(spark, f"{sf}/documents.parquet", cores)
 
 
 def _sentences(spark: SparkSession, sf: str) -> DataFrame:
@@ -215,6 +238,51 @@ def lexicon_tags(spark, sf):
     return segment.explode_tokens(annotated, SENTENCE)
 
 
+def lemma_table(spark, sf):
+    found = lemma_rules.lemma_table(_sentences(spark, sf), _asked(spark, sf))
+    return found.select("surface", "lemma", "n_stem")
+
+
+def lemmas_learned(spark, sf):
+    table = settled(lemma_rules.lemma_table(_sentences(spark, sf)))
+    annotated = segment.annotate(_documents(spark, sf), table.drop("n_stem"))
+    return segment.explode_tokens(annotated, SENTENCE, ("tok", "lemma"))
+
+
+def qa_lemmas(spark, sf):
+    """Answers with learned lemmas on both sides: "designed" finds "designing"."""
+    table = lemma_rules.lemma_table(_sentences(spark, sf), _asked(spark, sf))
+    lexicon = settled(table.drop("n_stem"))
+    return answer_questions(_questions(spark, sf), _documents(spark, sf), lexicon=lexicon)
+
+
+def abbreviations(spark, sf):
+    found = boundaries.abbreviations(_documents(spark, sf))
+    return found.select("word", "dot", "plain", F.round("weight", 6).alias("weight"))
+
+
+def sentences_learned(spark, sf):
+    documents = _documents(spark, sf)
+    known = settled(boundaries.abbreviations(documents).select("word"))
+    return segment.split_sentences(documents, abbreviations=known).select(*SENTENCE, "sent")
+
+
+def _phrases(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(PHRASES.items()), "phrase string, nec string")
+
+
+def phrase_tags(spark, sf):
+    named = phrases.with_phrases(_sentences(spark, sf), _phrases(spark), SENTENCE)
+    return segment.explode_tokens(named, SENTENCE, ("tok", "pos", "nec"))
+
+
+def answers_phrases(spark, sf):
+    """Answers where names of several words are known."""
+    return answer_questions(
+        _questions(spark, sf), _documents(spark, sf), phrases=_phrases(spark)
+    )
+
+
 def content_tokens(spark, sf):
     return segment.content_tokens(_tokens(spark, sf, "lemma", "pos"))
 
@@ -349,9 +417,11 @@ def lda_topics(spark, sf):
     model, counts = models.fit_topics(_topical(spark, sf))
     described = models.describe_topics(model, counts)
     known = _vocabulary(spark, sf).select("term", F.lit(True).alias("known"))
-    before = F.lag("weight").over(Window.partitionBy("topic").orderBy("rank"))
-    falling = F.coalesce(F.col("weight") <= before, F.lit(True))
-    return described.withColumn("falling", falling).join(known, "term", "left").select(
+    # Joined to the next rank; a window would sort each topic in one task.
+    before = described.select("topic", (F.col("rank") + 1).alias("rank"), F.col("weight").alias("before"))
+    falling = F.coalesce(F.col("weight") <= F.col("before"), F.lit(True))
+    ranked = described.join(before, ["topic", "rank"], "left").withColumn("falling", falling)
+    return ranked.join(known, "term", "left").select(
         "topic", "rank", F.coalesce("known", F.lit(False)).alias("known"), "falling"
     )
 
@@ -554,7 +624,9 @@ def qa_stream(spark, sf):
 
 QUERIES = [
     corpus_scan, prepared_roundtrip, topic_report, doc_view, initial_index,
-    sentences, tokens, lemmas, pos_tags, entity_tags, lexicon_tags, content_tokens, bigrams,
+    sentences, tokens, lemmas, pos_tags, entity_tags, lexicon_tags, lemma_table, lemmas_learned,
+    abbreviations, sentences_learned, phrase_tags,
+    content_tokens, bigrams,
     question_tokens, question_bigrams, lemma_match,
     term_freq, idf_sentence, idf_document, tfidf_sentence, tfidf_document, tfidf_vectors,
     hashed_tf, tfidf_ml,
@@ -565,7 +637,7 @@ QUERIES = [
     top_sentences, top1_sentence, answer_why, answer_entity, answer_definition,
     qa_batch, answers, answers_legacy, answers_lexicon, qa_conversations, answer_report, answer_digest,
     best_answer, two_stage_retrieval, qa_store, qa_stream,
-    prepared_tables, qa_appended, two_stage_store, qa_fitted,
+    qa_lemmas, answers_phrases, prepared_tables, qa_appended, two_stage_store, qa_fitted,
 ]
 
 
@@ -575,17 +647,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _llm_parts() -> list:
-    """The training-data operators and the pipeline over them, where they are present.
+    """The training-data operators and the pipeline over them, where they can be imported.
 
-    Only their own absence is forgiven; an error inside them is not.
+    Without them, or without a library that they need, the other queries still stand.
     """
     parts = []
     for name in ("quillon.llm.registry", "corpus_pipeline"):
         try:
             parts.append(importlib.import_module(name))
         except ModuleNotFoundError as error:
-            if error.name not in (name, "quillon.llm"):
-                raise
+            warnings.warn(f"{name} left out: {error}", stacklevel=2)
     return parts
 
 

@@ -71,8 +71,12 @@ ENTITY_WORDS = {
 
 CLOSED_WORDS = [w for words in CLOSED_CLASS.values() for w in words.split()]
 
-# Default stop words for topic extraction, lower case.
+# Default stop words for topic extraction, lower case; contractions are single tokens.
 STOP_WORDS = (
+    "ain't aren't can't couldn't didn't doesn't don't hadn't hasn't haven't he'd he'll i'd "
+    "i'll i'm i've isn't it'd it'll let's mightn't mustn't needn't shan't she'd she'll "
+    "shouldn't they'd they'll they're they've wasn't we'd we'll we're we've weren't won't "
+    "wouldn't you'd you'll you're you've "
     "a about above after again against all also am an and any are as at be because "
     "been before being below between both but by can could did do does doing down "
     "during each few for from further had has have having he her here hers herself "

@@ -11,6 +11,8 @@ MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 # Ways a key is split when the other side is too large to broadcast.
 SALTS = 16
+# A name that no caller's column has.
+_SALT = "__quillon_salt"
 
 
 def is_small(
@@ -60,8 +62,8 @@ def lookup_join(
         return big.join(F.broadcast(side), on, how)
     if not spread_by:
         return big.join(side, on, how)
-    salted = big.withColumn("salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)))
+    salted = big.withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)))
     repeated = side.withColumn(
-        "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+        _SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
     )
-    return salted.join(repeated, [*on, "salt"], how).drop("salt")
+    return salted.join(repeated, [*on, _SALT], how).drop(_SALT)

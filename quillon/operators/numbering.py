@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from quillon.operators.segment import explode_lemmas
 from quillon.session import stored
 
+# Names that no caller's column has.
+_PLACE, _PART, _OFFSET = "__quillon_place", "__quillon_part", "__quillon_offset"
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition number above these
 
 
@@ -22,19 +24,19 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     ordered = stored(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("place", F.monotonically_increasing_id()),
+        .withColumn(_PLACE, F.monotonically_increasing_id()),
         "ordered",
     )
-    part = F.shiftright("place", _LOCAL_BITS)
-    counts = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    local = F.col("place").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+    part = F.shiftright(_PLACE, _LOCAL_BITS)
+    counts = ordered.groupBy(part.alias(_PART)).agg(F.count("*").alias("n"))
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_PART, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_OFFSET))
+    local = F.col(_PLACE).bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     return (
-        ordered.withColumn("part", part)
-        .join(F.broadcast(offsets), "part")
-        .withColumn(name, local + F.col("offset"))
-        .drop("part", "place", "offset")
+        ordered.withColumn(_PART, part)
+        .join(F.broadcast(offsets), _PART)
+        .withColumn(name, local + F.col(_OFFSET))
+        .drop(_PART, _PLACE, _OFFSET)
     )
 
 

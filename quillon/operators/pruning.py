@@ -35,6 +35,8 @@ from quillon.operators.tfidf import idf_value
 from quillon.session import stored
 
 BLOCK = [*FEATURE, "cap"]
+# Up to so many postings are added up at once sooner than bounds for them are made.
+FEW_PAIRS = 20_000_000
 # Postings per question that the threshold is taken from.
 PROBE = 500
 # Share of the threshold up to which blocks are set aside.
@@ -73,6 +75,7 @@ def contenders(
     ``features`` must be small enough to be broadcast. With ``boost_possible`` a topic
     boost may still be added to the scores.
     """
+    spark = features.sparkSession
     postings = matches.where(F.col("kind") != SIZE).withColumn("cap", cap_of(F.col("n")))
     idf = F.round(idf_value(size, F.col("df")) * IDF_UNITS).cast("bigint")
     asked = stored(
@@ -83,22 +86,15 @@ def contenders(
     )
     blocks = stored(posting_blocks(matches), "blocks")
     questions = asked.select("q_id").distinct().count()
-    threshold = stored(
-        _thresholds(asked, blocks, postings, keys, k, probe, _tasks(asked, questions * probe)),
-        "thresholds",
-    )
+    tasks = scoring.scoring_tasks(spark, questions * probe)
+    threshold = stored(_thresholds(asked, blocks, postings, keys, k, probe, tasks), "thresholds")
     cut = stored(_cuts(asked, blocks, threshold, boost_possible), "cuts")
     beyond = cut.agg(F.sum("left").alias("left")).first()["left"] or 0
-    located = postings.repartition(_tasks(asked, beyond), *keys)
+    located = postings.repartition(scoring.scoring_tasks(spark, beyond), *keys)
     possible = _possible(cut, blocks, threshold, located, keys, boost_possible)
     return score_pairs(possible, located, asked, keys)
 
 
-def _tasks(df: DataFrame, pairs: int) -> int:
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(least, -(-pairs // scoring.PAIRS_PER_TASK)), max(least, scoring.MAX_TASKS))
-
-
 def _sums() -> list[Column]:
     """``base`` and ``shared`` over postings beside the question's side of them."""
     weight = F.col("n") * F.col("nq")

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.functions.arrays import counted
@@ -165,15 +165,19 @@ def document_count(documents: DataFrame) -> Column:
     return documents.agg(F.count("*").alias("m")).scalar()
 
 
-def scoring_tasks(features: DataFrame, weights: DataFrame) -> int:
-    """Into how many tasks the scoring should be cut.
+def scoring_pairs(features: DataFrame, weights: DataFrame) -> int:
+    """How many postings all questions meet: known exactly before any is looked at.
 
-    The pairs to add up are known exactly before they are built: each question feature
-    meets as many elements as its document frequency says.
+    Each question feature meets as many elements as its document frequency says.
     """
     pairs = features.join(weights.select(*FEATURE, "df"), FEATURE).agg(F.sum("df")).first()[0]
-    least = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(least, -(-(pairs or 0) // PAIRS_PER_TASK)), max(least, MAX_TASKS))
+    return pairs or 0
+
+
+def scoring_tasks(spark: SparkSession, pairs: int) -> int:
+    """Into how many tasks the scoring of so many postings should be cut."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(least, -(-pairs // PAIRS_PER_TASK)), max(least, MAX_TASKS))
 
 
 def score(

@@ -27,8 +27,11 @@ from pyspark.sql import functions as F
 from quillon.functions.arrays import bind, counted
 from quillon.functions.tagging import entity_array, is_content, lemma_array, tag_array
 from quillon.functions.text import bigram_array, sentence_array, token_array
+from quillon.operators.boundaries import learned_sentence_array, with_abbreviations
 from quillon.operators.joins import lookup_join
 
+# A name that no caller's column has.
+_KNOWN = "__quillon_abbreviations"
 SENTENCE_SCHEMA = (
     "doc_id bigint, sent_no int, doc_sents int, sent string, toks array<string>, "
     "lemmas array<string>, tags array<string>, ents array<string>"
@@ -38,13 +41,21 @@ ARRAYS = ["toks", "lemmas", "tags", "ents"]
 MAX_MAPPED_WORDS = 500
 
 
-def split_sentences(documents: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def split_sentences(
+    documents: DataFrame, carry: tuple[str, ...] = (), abbreviations: DataFrame | None = None
+) -> DataFrame:
     """``(doc_id, text)`` -> ``(doc_id, sent_no, doc_sents, sent)``; no shuffle.
 
-    ``carry`` names further document columns to repeat on each sentence.
+    ``carry`` names further document columns to repeat on each sentence. With
+    ``abbreviations(word)`` sentence ends are told as in ``boundaries``.
     """
+    if abbreviations is None:
+        found = sentence_array(F.col("text"))
+    else:
+        documents = with_abbreviations(documents, abbreviations, _KNOWN)
+        found = learned_sentence_array(F.col("text"), F.col(_KNOWN))
     parts = bind(
-        sentence_array(F.col("text")),
+        found,
         lambda all_parts: F.transform(
             all_parts,
             lambda p, i: p.withField(
@@ -142,10 +153,13 @@ def with_tokens(
 
 
 def annotate(
-    documents: DataFrame, lexicon: DataFrame | None = None, carry: tuple[str, ...] = ()
+    documents: DataFrame,
+    lexicon: DataFrame | None = None,
+    carry: tuple[str, ...] = (),
+    abbreviations: DataFrame | None = None,
 ) -> DataFrame:
     """``(doc_id, text)`` -> sentences with token arrays."""
-    sentences = split_sentences(documents, carry)
+    sentences = split_sentences(documents, carry, abbreviations)
     return with_tokens(sentences, "sent", ["doc_id", "sent_no"], lexicon).select(
         "doc_id", *carry, "sent_no", "doc_sents", "sent", *ARRAYS
     )

@@ -17,6 +17,7 @@ from quillon.functions.text import sentence_array
 from quillon.operators import pruning, scoring, segment, topics
 from quillon.operators.answering import extract_answers, question_types
 from quillon.operators.joins import MAX_BROADCAST_ROWS, is_small, lookup_join
+from quillon.operators.phrases import with_phrases
 from quillon.operators.tfidf import DOCUMENT, SENTENCE
 from quillon.session import stored
 
@@ -34,8 +35,12 @@ class Search:
     documents: Column | None = None  # number of documents
 
     @cached_property
+    def pairs(self) -> int:
+        return scoring.scoring_pairs(self.features, self.weights)
+
+    @property
     def tasks(self) -> int:
-        return scoring.scoring_tasks(self.features, self.weights)
+        return scoring.scoring_tasks(self.features.sparkSession, self.pairs)
 
     @classmethod
     def over_sentences(
@@ -84,7 +89,10 @@ class Search:
         """Scores of all sentences that can be among the ``k`` best of their question.
 
         The same rows as ``scores`` or ``topic_scores`` give, less those that bounds rule out.
+        Where there are few to begin with, all are scored.
         """
+        if self.pairs <= pruning.FEW_PAIRS:
+            return self.scores() if topic_words is None else self.topic_scores(topic_words)
         blocks = [self.features] if self.small else scoring.question_blocks(self.features)
         parts = [
             pruning.contenders(
@@ -134,7 +142,11 @@ class Search:
 
 
 def winning_sentences(
-    documents: DataFrame, top: DataFrame, small: bool, lexicon: DataFrame | None = None
+    documents: DataFrame,
+    top: DataFrame,
+    small: bool,
+    lexicon: DataFrame | None = None,
+    phrases: DataFrame | None = None,
 ) -> DataFrame:
     """``top`` with the text and token arrays of its sentences.
 
@@ -147,7 +159,8 @@ def winning_sentences(
         lambda hit: F.get(hit, F.lit(0))["sent"],
     )
     picked = joined.withColumn("sent", sent).drop("text")
-    return segment.with_tokens(picked, "sent", ["q_id", "rank"], lexicon)
+    found = segment.with_tokens(picked, "sent", ["q_id", "rank"], lexicon)
+    return found if phrases is None else with_phrases(found, phrases, ["q_id", "rank"])
 
 
 def answer_top(
@@ -157,6 +170,7 @@ def answer_top(
     k: int,
     legacy_span: bool = False,
     lexicon: DataFrame | None = None,
+    phrases: DataFrame | None = None,
 ) -> DataFrame:
     """Answers from the best sentences ``top(q_id, doc_id, sent_no, score, rank)``.
 
@@ -166,7 +180,7 @@ def answer_top(
     bounded = questions.count() * k <= MAX_BROADCAST_ROWS
     typed = lookup_join(top, question_types(questions), ["q_id"], small=bounded)
     return extract_answers(
-        winning_sentences(documents, typed, bounded, lexicon), legacy_span
+        winning_sentences(documents, typed, bounded, lexicon, phrases), legacy_span
     )
 
 
@@ -178,17 +192,19 @@ def answer_questions(
     topic_words: DataFrame | None = None,
     lexicon: DataFrame | None = None,
     legacy_span: bool = False,
+    phrases: DataFrame | None = None,
 ) -> DataFrame:
     """``questions(q_id, text)`` x ``documents(doc_id, text)`` -> up to ``k`` answers each.
 
-    ``synonyms`` widens the search terms, ``topic_words`` turns on the topic boost.
+    ``synonyms`` widens the search terms, ``topic_words`` turns on the topic boost;
+    ``phrases(phrase, nec)`` name entities of several tokens in the winning sentences.
     """
     annotated = segment.annotate_questions(questions, lexicon)
     search = Search.over_sentences(
         annotated, segment.annotate(documents, lexicon), synonyms, topic_words
     )
     top = search.top_sentences(k, topic_words)
-    return answer_top(annotated, documents, top, k, legacy_span, lexicon)
+    return answer_top(annotated, documents, top, k, legacy_span, lexicon, phrases)
 
 
 def document_first(

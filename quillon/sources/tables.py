@@ -37,11 +37,13 @@ def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_documents(spark: SparkSession, path: str, parts: int | None = None) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, least_splits: int | None = None) -> DataFrame:
     """The ``documents`` table in the splits of its files.
 
-    ``parts`` deals it out by ``doc_id`` instead, which moves every text: only for a table
-    of a single small file, which would leave cores idle.
+    A table in fewer than ``least_splits`` splits, such as a single small file, is dealt out
+    evenly, so that all cores have work; any other stays where it is.
     """
     documents = spark.read.parquet(path)
-    return documents if parts is None else documents.repartition(parts, "doc_id")
+    if least_splits is None or documents.rdd.getNumPartitions() >= least_splits:
+        return documents
+    return documents.repartition(least_splits)

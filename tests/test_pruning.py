@@ -12,6 +12,11 @@ from quillon.plans.answering import Search
 from tests.conftest import DATA
 
 
+@pytest.fixture(autouse=True)
+def always_pruned(monkeypatch):
+    monkeypatch.setattr(pruning, "FEW_PAIRS", -1)
+
+
 def _rows(frame):
     return sorted(map(tuple, frame.select("q_id", "rank", *SENTENCE, "score").collect()))
 
@@ -27,9 +32,8 @@ def _same(search, k, topic_words=None):
 def test_given_questions(spark, questions):
     asked = segment.annotate_questions(questions(spark, DATA))
     search = Search.over_sentences(asked, entry_points._sentences(spark, DATA))
-    for k in (1, 5):
-        found, kept, pairs = _same(search, k)
-        assert found and kept < pairs / 3
+    found, kept, pairs = _same(search, 5)
+    assert found and kept < pairs / 8
 
 
 def test_with_topics(spark):
@@ -53,7 +57,7 @@ def odd(spark):
     return Search.over_sentences(segment.annotate_questions(questions), segment.annotate(documents))
 
 
-@pytest.mark.parametrize("k", [1, 3, 50, 1000])
+@pytest.mark.parametrize("k", [1, 50, 1000])
 def test_ties_repeats_and_few_hits(odd, k):
     assert _same(odd, k)[0]
 
@@ -86,3 +90,10 @@ def test_caps(spark):
     frame = spark.createDataFrame([(n,) for n in counts], "n bigint")
     got = {r.n: r.cap for r in frame.select("n", pruning.cap_of(F.col("n")).alias("cap")).collect()}
     assert [got[n] for n in counts] == [1, 2, 3, 4, 8, 8, 16, 16, 32, 1024, 2**40, 2**41]
+
+
+def test_few_pairs_are_all_scored(odd, monkeypatch):
+    expected = _rows(odd.top_sentences(3))
+    monkeypatch.setattr(pruning, "FEW_PAIRS", 10**9)
+    assert odd.contenders(3).count() == odd.scores().count()
+    assert _rows(odd.top_sentences(3)) == expected
