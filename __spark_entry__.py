@@ -29,9 +29,11 @@ from quillon.operators import lemmas as lemma_rules
 from quillon.operators import (
     answering,
     boundaries,
+    joins,
     models,
     numbering,
     phrases,
+    postings,
     scoring,
     segment,
     tfidf,
@@ -560,6 +562,33 @@ def qa_store(spark, sf):
     return answer_from_store(_questions(spark, sf), read_store(spark, path))
 
 
+def posting_blocks(spark, sf):
+    """Term counts of sentences, packed into blocks and read back from them."""
+    features = scoring.corpus_features(_sentences(spark, sf))
+    blocks = settled(postings.pack_postings(features.where(F.col("kind") == scoring.TERM)))
+    rows = postings.unpack_postings(blocks)
+    return rows.select("doc_id", "sent_no", F.col("key").alias("lemma"), F.col("n").alias("tf"))
+
+
+def block_documents(spark, sf):
+    """Term counts of whole documents and the headers' frequencies, from one set of blocks."""
+    features = scoring.corpus_features(_sentences(spark, sf))
+    blocks = settled(postings.pack_postings(features.where(F.col("kind") == scoring.TERM)))
+    weights = postings.block_weights(blocks).select("key", "df")
+    counts = postings.document_postings(blocks)
+    return joins.lookup_join(counts, weights, ["key"], spread_by=[F.col("doc_id")]).select(
+        "doc_id", F.col("key").alias("lemma"), F.col("n").alias("tf"), F.col("df").alias("sentences")
+    )
+
+
+def qa_packed(spark, sf):
+    """The same answers as ``qa_store``, from a store that keeps its features in blocks."""
+    path = scratch_path(spark, "store")
+    words = settled(_topic_words(spark, sf))
+    write_store(_sentences(spark, sf), path, words, buckets=8, packed=True)
+    return answer_from_store(_questions(spark, sf), read_store(spark, path))
+
+
 def qa_appended(spark, sf):
     """The same answers as ``qa_batch``, from a corpus that grew by segments.
 
@@ -638,6 +667,7 @@ QUERIES = [
     qa_batch, answers, answers_legacy, answers_lexicon, qa_conversations, answer_report, answer_digest,
     best_answer, two_stage_retrieval, qa_store, qa_stream,
     qa_lemmas, answers_phrases, prepared_tables, qa_appended, two_stage_store, qa_fitted,
+    posting_blocks, block_documents, qa_packed,
 ]
 
 
