@@ -33,6 +33,7 @@ from quillon.operators import (
     models,
     numbering,
     phrases,
+    pivots,
     postings,
     scoring,
     segment,
@@ -50,11 +51,19 @@ from quillon.session import scratch_path, settled
 from quillon.sources import reports, versions
 from quillon.sources.store import read_store, write_store
 from quillon.sources.tables import read_documents
-from quillon.streaming.questions import answer_stream, read_question_stream
+from quillon.streaming.questions import (
+    TIMED_SCHEMA,
+    answer_stream,
+    answer_version_stream,
+    once_within,
+    read_question_stream,
+)
 
 SENTENCE, DOCUMENT = tfidf.SENTENCE, tfidf.DOCUMENT
 # Question words, by item number.
 QUESTION_WORDS = ("who", "what", "when", "where", "why", "how")
+# When the first questions of a timed stream are asked, in seconds.
+DAY_ONE = 1_700_000_000
 # Words of the given documents as a lexicon: lemma, part of speech, entity class.
 LEXICON = {
     "nd": ("Nd", "NNP", "LOCATION"),
@@ -387,6 +396,13 @@ def nearest_vectors(spark, sf):
     return near.select(F.col("term").alias("vec_id"), "rank", "neighbour", "similarity")
 
 
+def nearest_pivots(spark, sf):
+    """The same rows as ``nearest_vectors``, in cells around pivots."""
+    table = _embeddings(spark, sf).withColumnRenamed("vec_id", "name")
+    near = pivots.nearest_by_pivots(table, table)
+    return near.select(F.col("term").alias("vec_id"), "rank", "neighbour", "similarity")
+
+
 def expanded_terms(spark, sf):
     return scoring.target_terms(_asked(spark, sf), _synonyms(spark, sf))
 
@@ -651,6 +667,39 @@ def qa_stream(spark, sf):
     return spark.read.parquet(f"{folder}/answers").select(*answering.ANSWER_COLUMNS)
 
 
+def qa_stream_once(spark, sf):
+    """Questions asked again are answered once, and a new version is taken up.
+
+    The stream is stopped after the even questions. Then documents are replaced by
+    themselves, which makes version 2, and the odd questions come with all even ones again.
+    """
+    folder = scratch_path(spark, "stream")
+    documents = _documents(spark, sf).select("doc_id", "text")
+    versions.prepare(documents, f"{folder}/store", buckets=8)
+    asked = _questions(spark, sf).groupBy(F.lower("text").alias("same")).agg(
+        F.min("q_id").alias("q_id"), F.min_by("text", "q_id").alias("text")
+    )
+    even = F.col("q_id") % 2 == 0
+    again = asked.where(even).select(
+        (-F.col("q_id") - 1).alias("q_id"), F.concat("text", F.lit(" ")).alias("text")
+    )
+    rounds = [asked.where(even), asked.where(~even).select("q_id", "text").unionByName(again)]
+    for number, questions in enumerate(rounds):
+        if number:
+            versions.append(spark, f"{folder}/store", documents.where("doc_id % 4 = 0"))
+        asked_at = F.timestamp_seconds(F.lit(DAY_ONE + 60 * number)).alias("asked_at")
+        questions.select("q_id", "text", asked_at).write.mode("append").parquet(f"{folder}/questions")
+        stream = read_question_stream(spark, f"{folder}/questions", schema=TIMED_SCHEMA)
+        answer_version_stream(
+            once_within(stream, "10 minutes"),
+            f"{folder}/store",
+            f"{folder}/answers",
+            f"{folder}/progress",
+        ).awaitTermination()
+    answers = spark.read.parquet(f"{folder}/answers")
+    return answers.select(*answering.ANSWER_COLUMNS, "version")
+
+
 QUERIES = [
     corpus_scan, prepared_roundtrip, topic_report, doc_view, initial_index,
     sentences, tokens, lemmas, pos_tags, entity_tags, lexicon_tags, lemma_table, lemmas_learned,
@@ -667,7 +716,7 @@ QUERIES = [
     qa_batch, answers, answers_legacy, answers_lexicon, qa_conversations, answer_report, answer_digest,
     best_answer, two_stage_retrieval, qa_store, qa_stream,
     qa_lemmas, answers_phrases, prepared_tables, qa_appended, two_stage_store, qa_fitted,
-    posting_blocks, block_documents, qa_packed,
+    posting_blocks, block_documents, qa_packed, nearest_pivots, qa_stream_once,
 ]
 
 
