@@ -29,6 +29,7 @@ from quillon.operators import lemmas as lemma_rules
 from quillon.operators import (
     answering,
     boundaries,
+    cooccurrence,
     joins,
     models,
     numbering,
@@ -371,14 +372,13 @@ def hashed_tf(spark, sf):
 
 def tfidf_ml(spark, sf):
     rows = _sentences(spark, sf).select(*SENTENCE, "lemmas")
-    words = segment.explode_lemmas(rows).distinct().count()
-    model = models.fit_tfidf(rows, words)
-    names = spark.createDataFrame(
-        list(enumerate(model.stages[0].vocabulary)), "place int, lemma string"
-    )
+    words = settled(segment.explode_lemmas(rows).distinct())
+    model = models.fit_tfidf(rows, words.count())
+    names = models.term_places(model, words)
     cells = model.transform(rows).select(*SENTENCE, F.explode(models.sparse_cells("tfidf")).alias("c"))
     weighted = cells.select(*SENTENCE, "c.place", F.round("c.value", 6).alias("tfidf"))
-    return weighted.join(names, "place").select(*SENTENCE, "lemma", "tfidf")
+    named = joins.lookup_join(weighted, names, ["place"], spread_by=[F.col("doc_id"), F.col("sent_no")])
+    return named.select(*SENTENCE, "lemma", "tfidf")
 
 
 # --- word vectors -----------------------------------------------------------
@@ -390,6 +390,21 @@ def word2vec_vectors(spark, sf):
     return vectors.select("term", F.size("vector").alias("size"))
 
 
+def cooccurrences(spark, sf):
+    return cooccurrence.cooccurrences(_sentences(spark, sf))
+
+
+def word_information(spark, sf):
+    return cooccurrence.positive_information(cooccurrences(spark, sf))
+
+
+def information_vectors(spark, sf):
+    """Which words have a vector, its size, and that its numbers are finite."""
+    found = cooccurrence.information_vectors(word_information(spark, sf))
+    finite = F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return found.select("term", F.size("vector").alias("size"), finite.alias("finite"))
+
+
 def nearest_vectors(spark, sf):
     table = _embeddings(spark, sf).withColumnRenamed("vec_id", "name")
     near = vectors.nearest_vectors(table, table)
@@ -717,6 +732,7 @@ QUERIES = [
     best_answer, two_stage_retrieval, qa_store, qa_stream,
     qa_lemmas, answers_phrases, prepared_tables, qa_appended, two_stage_store, qa_fitted,
     posting_blocks, block_documents, qa_packed, nearest_pivots, qa_stream_once,
+    cooccurrences, word_information, information_vectors,
 ]
 
 
