@@ -33,18 +33,18 @@ _WORD = r"^\p{L}+$"
 
 
 def _tagged(annotated: DataFrame) -> DataFrame:
-    """``tok, low, tag`` of every token."""
+    """``tok, tag`` of every token."""
     cells = F.explode(F.arrays_zip(FIELDS["tok"], FIELDS["pos"])).alias("t")
-    return annotated.select(cells).select(
-        F.col("t.toks").alias("tok"), F.lower("t.toks").alias("low"), F.col("t.tags").alias("tag")
-    )
+    return annotated.select(cells).select(F.col("t.toks").alias("tok"), F.col("t.tags").alias("tag"))
 
 
 def word_counts(annotated: DataFrame) -> DataFrame:
     """``tok, low, n, n_stem``: distinct words, and how often each stands where a stem may."""
     stem = F.when(F.col("tag").isin(*STEM_TAGS), 1).otherwise(0)
-    words = _tagged(annotated).where(F.col("low").rlike(_WORD) & ~F.col("low").isin(CLOSED_WORDS))
-    return words.groupBy("tok", "low").agg(F.count("*").alias("n"), F.sum(stem).alias("n_stem"))
+    low = F.lower("tok")
+    words = _tagged(annotated).where(low.rlike(_WORD) & ~low.isin(CLOSED_WORDS))
+    counts = words.groupBy("tok").agg(F.count("*").alias("n"), F.sum(stem).alias("n_stem"))
+    return counts.select("tok", low.alias("low"), "n", "n_stem")
 
 
 def _candidates(low: Column) -> Column:

@@ -140,3 +140,36 @@ def test_a_where_answer_spans_the_whole_name(spark, tmp_path):
     assert answer_questions(questions, documents, k=1, phrases=words).first().answer == "Rio de Janeiro"
     version = versions.prepare(documents, str(tmp_path), buckets=2, phrases=words)
     assert answer_from_version(questions, version).first().answer == "Rio de Janeiro"
+
+
+@pytest.mark.parametrize("joined", [False, True])
+def test_a_phrase_table_that_tasks_can_keep_shuffles_nothing(spark, monkeypatch, joined):
+    if joined:
+        monkeypatch.setattr(phrases, "can_be_held", lambda side: False)
+    text = "He saw New York Times Square. In New York, in Oslo. The a a a a list of the United Nations."
+    annotated = segment.annotate(spark.createDataFrame([(1, text), (2, None), (3, ""), (4, "Of the United")], DOCS))
+    names = spark.createDataFrame(PHRASES, "phrase string, nec string")
+    found = phrases.with_phrases(annotated, names, ["doc_id", "sent_no"])
+    rows = {(r.doc_id, r.sent_no): (r.ents, r.tags) for r in found.collect()}
+    assert rows[1, 2][0] == ["NONE", *["MISC"] * 4, "NONE", "NONE", *["ORGANIZATION"] * 3, "NONE"]
+    assert rows[1, 2][1][1:5] == ["NNP"] * 4 and "ORGANIZATION" not in rows[4, 0][0]
+    if not joined:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("joined", [False, True])
+def test_a_lexicon_of_many_words_shuffles_nothing(spark, corpus, monkeypatch, joined):
+    if joined:
+        monkeypatch.setattr(segment, "can_be_held", lambda side: False)
+    many = [(f"w{i}", "x", None, None) for i in range(600)]
+    own = [("running", "motor", None, None), ("running", "motors", "VB", None), ("now", None, None, "PERSON")]
+    lexicon = spark.createDataFrame(many + own, "surface string, lemma string, pos string, nec string")
+    documents = corpus.union(spark.createDataFrame([(7, None), (8, ""), (9, " ... ")], DOCS))
+    found = segment.annotate(documents, lexicon)
+    few = segment.annotate(documents, lexicon.where("lemma is null or lemma <> 'x'"))
+    assert sorted(found.collect()) == sorted(few.collect())
+    assert "motor" in [w for r in found.collect() for w in r.lemmas]
+    if not joined:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
