@@ -1,9 +1,11 @@
 """Nearest vectors by pivots against all pairs."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
-from quillon.operators import pivots
+from quillon.operators import pivots, vectors
 
 SCHEMA = "name bigint, vector array<double>"
 
@@ -75,3 +77,17 @@ def test_other_queries_and_text_names(frame):
     schema = "name string, vector array<double>"
     found = pivots.nearest_by_pivots(frame(asked, schema), frame(data, schema), 4, pivots=7, cell_rows=9)
     same(rows(found), brute(asked, data, 4))
+
+
+def test_memory_of_a_block_does_not_grow_with_its_pairs():
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=(4096, 4)), rng.normal(size=(4096, 4))
+    whole = vectors._best_of(np.arange(50), a[:50], np.arange(4096), b, 3)
+    tracemalloc.start()
+    found = vectors._nearest_of(np.arange(4096), a, np.arange(4096), b, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6 and len(found) == 3 * 4096
+    assert found.head(150).equals(whole)
+    none = vectors._nearest_of(np.arange(0), a[:0], np.arange(4096), b, 3)
+    assert list(none.columns) == list(whole.columns) and not len(none)
