@@ -91,3 +91,20 @@ def test_memory_of_a_block_does_not_grow_with_its_pairs():
     assert found.head(150).equals(whole)
     none = vectors._nearest_of(np.arange(0), a[:0], np.arange(4096), b, 3)
     assert list(none.columns) == list(whole.columns) and not len(none)
+
+
+@pytest.mark.parametrize("slab_rows", [1, 60, 10_000])
+def test_vectors_are_not_sent_with_every_visit(frame, monkeypatch, slab_rows):
+    sizes, stored = {}, pivots.stored
+
+    def kept(df, name):
+        out = stored(df, name)
+        sizes[name] = out.count() if "vector" in out.columns else 0
+        return out
+
+    monkeypatch.setattr(pivots, "stored", kept)
+    monkeypatch.setattr(pivots, "SLAB_ROWS", slab_rows)
+    data = [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(5).normal(size=(200, 8)))]
+    df = frame(data, SCHEMA)
+    same(rows(pivots.nearest_by_pivots(df, df, 3, cell_rows=20)), brute(data, data, 3))
+    assert max(sizes.values()) == 200
